@@ -1,0 +1,6 @@
+"""Streaming use.
+
+The row-wise operators (renaming, unit conversion, timestamp parsing, calendar, weather and ratio features, health
+bands) are plain projections and filters, so they apply to a streaming DataFrame as they are. Row-frame windows,
+medians and ratios need the whole table and are batch only. There is nothing else to add here.
+"""
