@@ -21,7 +21,7 @@ from ..schemas import (
     type_of,
 )
 from .medians import median_impute
-from .scalars import with_scalars
+from .scalars import evaluated, with_scalars
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str] = COLUMN_MAP) -> DataFrame:
@@ -93,7 +93,13 @@ def drop_all_null(df: DataFrame, columns: Sequence[str] = POLLUTANTS) -> DataFra
 
 
 def clean(df: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """Impute PM2.5, parse dates, drop rows without any pollutant, fill the rest with medians."""
+    """Impute PM2.5, parse dates, drop rows without any pollutant, fill the rest with medians.
+
+    The ratio and the medians are computed at once, as each pass over the data would need them again.
+    """
     return (
-        impute_pm25(df).transform(parse_timestamp).transform(drop_all_null).transform(median_impute, IMPUTED, accuracy)
+        impute_pm25(df, evaluated(pm25_ratio(df)))
+        .transform(parse_timestamp)
+        .transform(drop_all_null)
+        .transform(median_impute, IMPUTED, accuracy)
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.matrix import hash_split, prepare_features
 from ..operators.metrics import regression_metrics
 from ..schemas import TARGET_NAMES, TARGETS
-from ..sources import write_metrics, write_parquet
+from ..sources import staged, write_metrics, write_parquet
 
 SEED = 42
 
@@ -49,6 +49,7 @@ def train_all(
     if dataset.isEmpty():
         return None
     frame, features = training_frame(dataset)
+    frame = staged(frame, "training")
     models, metrics = {}, None
     for target in targets:
         models[target], measured = train_target(frame, features, target, iterations, depth)
