@@ -125,7 +125,7 @@ def with_row_frames(
         return enough_before & enough_after
 
     names = list(build(whole))
-    columns = [*[c for c in df.columns if c not in names], *names]
+    columns = list(dict.fromkeys([*df.columns, *names]))
     complete = at_least(before, after)
     inner = (
         with_blocks(df, cuts, group, order)

@@ -1,0 +1,146 @@
+"""Cut groups give the same results as whole ones."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stationflow.operators import features
+from stationflow.operators.blocks import BLOCK, LAST_BLOCK, find_cuts, running_total, with_blocks, with_row_frames
+
+START = datetime(2024, 1, 1)
+SCHEMA = "station_name string, date timestamp, tie int, pm10 double, pm2_5 double, no2 double, o3 double"
+
+
+def readings(spark, sizes, seed=1, ties=False):
+    """Stations of the given sizes; every value but a few is set."""
+    random.seed(seed)
+
+    def value():
+        return None if random.random() < 0.1 else float(random.randint(0, 500))
+
+    table = [
+        (name, START + timedelta(hours=(i // 3 if ties else i)), i, value(), value(), value(), value())
+        for name, size in sizes.items()
+        for i in range(size)
+    ]
+    random.shuffle(table)
+    return spark.createDataFrame(table, SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """One station has most of the rows."""
+    table = readings(spark, {"hot": 900, "a": 200, "b": 60, "c": 24, "d": 3, "e": 1}).cache()
+    table.count()
+    return table
+
+
+@pytest.mark.parametrize("rows_per_block", [1, 2, 7, 30, 100, 10_000])
+def test_windows_do_not_depend_on_the_blocks(spark, skewed, rows, rows_per_block):
+    whole = features.window_features(skewed, rows_per_block=None)
+    cut = features.window_features(skewed, rows_per_block=rows_per_block)
+    assert cut.columns == whole.columns
+    assert rows(cut) == rows(whole)
+
+
+@pytest.mark.parametrize("rows_per_block", [3, 40])
+def test_windows_with_tie_break_columns(spark, rows, rows_per_block):
+    table = readings(spark, {"hot": 300, "a": 50}, ties=True)
+    order = ("date", "tie")
+    whole = features.window_features(table, order, None)
+    assert rows(features.window_features(table, order, rows_per_block)) == rows(whole)
+
+
+def test_windows_with_missing_dates_and_stations(spark, rows):
+    table = readings(spark, {"hot": 200, "a": 30}).withColumns(
+        {
+            "date": F.when(F.col("tie") != 0, F.col("date")),
+            "station_name": F.when(F.col("station_name") != "a", F.col("station_name")),
+        }
+    )
+    whole = features.window_features(table, rows_per_block=None)
+    assert rows(features.window_features(table, rows_per_block=5)) == rows(whole)
+
+
+def test_frames_on_one_side_only(skewed, rows):
+    for build in (features.rolling_features, features.lag_features, features.target_features):
+        assert rows(build(skewed, rows_per_block=9)) == rows(build(skewed, rows_per_block=None))
+
+
+def test_window_may_replace_a_column(skewed, rows):
+    def build(ordered):
+        return {"pm10": F.lag("no2", 1).over(ordered)}
+
+    args = (build, 1, 0, ["station_name"], ["date"])
+    assert rows(with_row_frames(skewed, *args, 10)) == rows(with_row_frames(skewed, *args, None))
+
+
+def test_cuts_depend_on_the_rows_alone(skewed):
+    group, order = ["station_name"], ["date"]
+    first = find_cuts(skewed, group, order, 20)
+    again = find_cuts(skewed.repartition(13).orderBy("pm10"), group, order, 20)
+    assert first and sorted(first) == sorted(again)
+
+
+def test_too_many_cuts_are_thinned(skewed):
+    group, order = ["station_name"], ["date"]
+    every_row = find_cuts(skewed, group, order, 1)
+    fewer = find_cuts(skewed, group, order, 1, max_cuts=300)
+    assert len(every_row) == skewed.count()
+    assert len(fewer) <= 300 and set(fewer) < set(every_row)
+
+
+def test_blocks_are_contiguous_and_small(skewed):
+    group, order = ["station_name"], ["date"]
+    blocked = with_blocks(skewed, find_cuts(skewed, group, order, 25), group, order)
+    hot = blocked.filter("station_name = 'hot'")
+    spans = hot.groupBy(BLOCK, LAST_BLOCK).agg(F.min("date").alias("a"), F.max("date").alias("b"), F.count("*").alias("n"))
+    spans = sorted(spans.collect(), key=lambda r: r["a"])
+    assert len(spans) > 10
+    assert [r[BLOCK] for r in spans] == sorted(r[BLOCK] for r in spans)
+    assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]))
+    assert max(r["n"] for r in spans) < 300
+    assert {r[LAST_BLOCK] for r in spans} == {spans[-1][BLOCK]}
+
+
+def test_long_cut_lists_are_searched_in_steps(spark):
+    """More cuts than fit one run of the search."""
+    table = readings(spark, {"hot": 700})
+    group, order = ["station_name"], ["date"]
+    blocked = with_blocks(table, find_cuts(table, group, order, 1), group, order)
+    # Every row is a cut, so the block is the row number.
+    numbered = blocked.withColumn("n", F.row_number().over(Window.partitionBy("station_name").orderBy("date")))
+    assert numbered.filter(F.col(BLOCK) != F.col("n")).count() == 0
+
+
+def test_rows_move_by_station_and_block(skewed):
+    plan = features.window_features(skewed, rows_per_block=50)._jdf.queryExecution().executedPlan().toString()
+    assert f"hashpartitioning(station_name#" in plan and BLOCK in plan
+
+
+@pytest.mark.parametrize("rows_per_block", [1, 6, 50, None])
+@pytest.mark.parametrize("group", [["station_name"], []])
+def test_running_totals(skewed, rows, rows_per_block, group):
+    order = ["date"] if group else ["station_name", "date"]
+    weighted = F.coalesce(F.col("pm10"), F.lit(0.0)).cast("bigint")
+    got = running_total(skewed, group, order, weighted, rows_per_block=rows_per_block)
+    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    expected = skewed.withColumns(
+        {
+            "running": F.sum(weighted).over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)),
+            "total": F.sum(weighted).over(whole),
+        }
+    )
+    assert rows(got) == rows(expected)
+
+
+@pytest.mark.parametrize("rows_per_block", [5, None])
+def test_running_totals_with_a_group_table(spark, skewed, rows, rows_per_block):
+    table = spark.createDataFrame([("hot", 1), ("a", 2), ("b", 3)], "station_name string, code int")
+    got = running_total(skewed, ["station_name"], ["date"], per_group=table, rows_per_block=rows_per_block)
+    counts = {r["station_name"]: (r["n"], r["top"], r["code"]) for r in got.groupBy("station_name").agg(
+        F.count("*").alias("n"), F.max("running").alias("top"), F.max("code").alias("code")).collect()}
+    assert counts == {"hot": (900, 900, 1), "a": (200, 200, 2), "b": (60, 60, 3)}
