@@ -5,7 +5,7 @@ Doubles are rounded to six digits, as sums of doubles differ between engines in
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from ..operators import clean, features, matrix, medians, metrics, sequences, su
 from ..operators.snapshot import snapshot_features
 from ..plans import batch_predict, build_ml_dataset, load_sources, train_all
 from ..plans.ml_dataset import ml_features
-from ..schemas import CITY_LEVELS, IMPUTED, POLLUTANTS, TARGET_NAMES, TARGETS
+from ..schemas import CITY_LEVELS, IMPUTED, POLLUTANTS, ROLLING, TARGETS
 from ..sources import read_dataset, shared_dir, staged, write_csv, write_parquet
 from . import views
 
@@ -41,9 +41,9 @@ def _query(function: Query) -> Query:
     return function
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round the floating-point columns."""
-    reals = [c for c, t in df.dtypes if t in ("double", "float")]
+def rounded(df: DataFrame, digits: int = 6, only: Sequence[str] = ()) -> DataFrame:
+    """Round the floating-point columns, or those of ``only``."""
+    reals = [c for c, t in df.dtypes if t in ("double", "float") and (not only or c in only)]
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in reals})
 
 
@@ -207,7 +207,8 @@ def targets_24(spark, sf_dir):
 
 @_query
 def window_features_dense(spark, sf_dir):
-    return rounded(features.window_features(views.readings_dense(spark, sf_dir), views.DENSE_ORDER))
+    table = features.window_features(views.readings_dense(spark, sf_dir), views.DENSE_ORDER)
+    return rounded(table, only=[*ROLLING, *TARGETS])
 
 
 @_query
@@ -437,8 +438,6 @@ _RENAMED = {
     "batch_prediction": "batch_predict",
 }
 
-__all__ = ["TARGET_NAMES", "all_queries"]
-
 
 def all_queries() -> dict[str, Query]:
     return {_RENAMED.get(name, name): function for name, function in _QUERIES.items()}

@@ -14,22 +14,24 @@ from ..schemas import COLUMN_MAP, ML_COLUMNS, RAW_COLUMNS, SourceSpec, type_of
 _KNOWN = {*RAW_COLUMNS, *ML_COLUMNS}
 
 
-def read_csv(spark: SparkSession, path: str | list[str], text: Sequence[str] = (), infer: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, text: Sequence[str] = (), infer: bool = False, files: str = "*"
+) -> DataFrame:
     """CSV with a header. Known columns get their types by name, others and those in ``text`` stay strings.
 
     Only the header is looked at before the query runs; ``infer`` makes Spark read everything once more instead.
-    Values that do not fit their type become null.
+    Values that do not fit their type become null. In a directory only file names that match ``files`` are read.
     """
+    reader = spark.read.option("header", True).option("pathGlobFilter", files)
     if infer:
-        return spark.read.csv(path, header=True, inferSchema=True)
+        return reader.option("inferSchema", True).csv(path)
 
     def field(header: str) -> StructField:
         column = COLUMN_MAP.get(header, header)
         typed = column in _KNOWN and column not in text
         return StructField(header, type_of(column) if typed else StringType())
 
-    header = spark.read.csv(path, header=True).columns
-    return spark.read.schema(StructType([field(h) for h in header])).csv(path, header=True)
+    return reader.schema(StructType([field(h) for h in reader.csv(path).columns])).csv(path)
 
 
 def read_source(spark: SparkSession, spec: SourceSpec, infer: bool = False) -> DataFrame:
@@ -37,19 +39,33 @@ def read_source(spark: SparkSession, spec: SourceSpec, infer: bool = False) -> D
     return read_csv(spark, spec.path, text=["date"], infer=infer)
 
 
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _try_read(spark: SparkSession, path: str, form: str, files: str) -> DataFrame | None:
+    try:
+        if form == "parquet":
+            return spark.read.option("pathGlobFilter", files).parquet(path)
+        frame = read_csv(spark, path, files=files)
+        return frame if frame.columns else None
+    except AnalysisException as error:
+        if error.getCondition() in _ABSENT:
+            return None
+        raise
+
+
 def read_dataset(spark: SparkSession, *paths: str) -> DataFrame:
-    """The first of ``paths`` that exists: a file or a directory of part files, Parquet or CSV by its suffix.
+    """The first of ``paths`` that holds data: a file, or a directory of part files.
 
-    A path with another suffix is tried as Parquet, then as CSV. An error names the paths when none exists.
+    The names of the part files tell Parquet from CSV; without such names the suffix of the path does, and CSV is the
+    default. An error names the paths when none holds data.
     """
     for path in paths:
-        formats = [f for f in ("csv", "parquet") if path.rstrip("/").endswith(f".{f}")] or ["parquet", "csv"]
-        for name in formats:
-            try:
-                return spark.read.parquet(path) if name == "parquet" else read_csv(spark, path)
-            except AnalysisException as error:
-                if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                    raise
+        named = "parquet" if path.rstrip("/").endswith(".parquet") else "csv"
+        for form, files in (("parquet", "*.parquet"), ("csv", "*.csv*"), (named, "*")):
+            found = _try_read(spark, path, form, files)
+            if found is not None:
+                return found
     raise FileNotFoundError(f"no dataset at {', '.join(paths)}; run the etl and features steps first")
 
 
