@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
-ROWS_PER_BLOCK = 5_000_000
+ROWS_PER_BLOCK = 2_000_000
 MAX_CUTS = 500_000
 
 BLOCK = "_block"
