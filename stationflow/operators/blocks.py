@@ -28,7 +28,6 @@ MAX_CUTS = 500_000
 
 BLOCK = "_block"
 LAST_BLOCK = "_last_block"
-_FANOUT = 128
 
 
 def find_cuts(
@@ -50,49 +49,26 @@ def with_blocks(
 ) -> DataFrame:
     """Add the block of each row and the last block of its group; ``only_cut`` keeps just the groups that are cut.
 
-    The cuts of a group are searched in two steps of short arrays (first the run of cuts, then the place within the
-    run), so a row never drags the full list of its group along.
+    The block is the number of cuts up to the row, found by halving: one comparison per step, all in generated code, so
+    the sorted cuts of the group are looked at where they were broadcast and never copied into the row.
     """
     spark, schema = df.sparkSession, df.select(*group, *order).schema
-    points = F.sort_array(F.collect_list(F.struct(*order)))
-    runs = (
+    sorted_cuts = (
         spark.createDataFrame(cuts, schema)
         .groupBy(*[F.col(c).alias(f"_g_{c}") for c in group])
-        .agg(points.alias("_points"))
-        .withColumn("_size", F.size("_points"))
-        .withColumn(
-            "_runs",
-            F.transform(
-                F.sequence(F.lit(0), F.floor((F.col("_size") - 1) / _FANOUT).cast("int")),
-                lambda i: F.slice("_points", i * _FANOUT + 1, _FANOUT),
-            ),
-        )
-    )
-    group_keys = [f"_g_{c}" for c in group]
-    heads = runs.select(
-        *group_keys, F.col("_size").alias(LAST_BLOCK), F.transform("_runs", lambda r: F.get(r, 0)).alias("_heads")
-    )
-    places = runs.select(*group_keys, F.posexplode("_runs").alias("_pos", "_in_run"))
-
-    key = F.struct(*order)
-
-    def same_group(left: DataFrame, right: DataFrame) -> list[Column]:
-        return [left[c].eqNullSafe(right[f"_g_{c}"]) for c in group]
-
-    # At most MAX_CUTS keys on the broadcast side of either join.
-    found = df.join(F.broadcast(heads), same_group(df, heads), "inner" if only_cut else "left").select(
-        *df.columns,
-        F.coalesce(LAST_BLOCK, F.lit(0)).alias(LAST_BLOCK),
-        F.when(F.col("_heads").isNull(), 0).otherwise(F.size(F.filter("_heads", lambda h: h <= key))).alias("_run"),
+        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
     )
-    in_run = F.size(F.filter("_in_run", lambda p: p <= key))
-    return found.join(
-        F.broadcast(places), [*same_group(found, places), found["_run"] - 1 == places["_pos"]], "left"
-    ).select(
-        *df.columns,
-        LAST_BLOCK,
-        F.when(F.col("_in_run").isNull(), 0).otherwise((F.col("_run") - 1) * _FANOUT + in_run).alias(BLOCK),
+    same_group = [df[c].eqNullSafe(sorted_cuts[f"_g_{c}"]) for c in group]
+    # At most MAX_CUTS keys on the broadcast side.
+    found = df.join(F.broadcast(sorted_cuts), same_group, "inner" if only_cut else "left").select(
+        *df.columns, "_cuts", F.struct(*order).alias("_key"), F.lit(0).alias(BLOCK)
     )
+    for bit in reversed(range(len(cuts).bit_length())):
+        # Beyond the end of the list, or without one, the comparison is null and the step is not taken.
+        passed = F.get("_cuts", F.col(BLOCK) + (1 << bit) - 1) <= F.col("_key")
+        found = found.withColumn(BLOCK, F.col(BLOCK) + F.when(passed, 1 << bit).otherwise(0))
+    last = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts"))
+    return found.select(*df.columns, last.alias(LAST_BLOCK), BLOCK)
 
 
 def with_row_frames(

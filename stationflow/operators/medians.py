@@ -13,9 +13,9 @@ from ..sources.storage import staged
 from .blocks import ROWS_PER_BLOCK, running_total
 from .scalars import one_row, with_scalars
 
-SAMPLE_ROWS = 4_000_000
+SAMPLE_ROWS = 1_000_000
 # Ten standard errors of the median's rank in a sample of that size.
-MARGIN = 0.0025
+MARGIN = 0.005
 _LOW, _HIGH = float("-inf"), float("inf")
 
 

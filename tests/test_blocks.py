@@ -106,8 +106,7 @@ def test_blocks_are_contiguous_and_small(skewed):
     assert {r[LAST_BLOCK] for r in spans} == {spans[-1][BLOCK]}
 
 
-def test_long_cut_lists_are_searched_in_steps(spark):
-    """More cuts than fit one run of the search."""
+def test_every_row_may_be_a_cut(spark):
     table = readings(spark, {"hot": 700})
     group, order = ["station_name"], ["date"]
     blocked = with_blocks(table, find_cuts(table, group, order, 1), group, order)
