@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, mixing, pii
+from . import lines, mixing, packing, pii, wavelet
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_bin_completion_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.query(read(spark, sf_dir, "documents"))
+
+
+def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.query(read(spark, sf_dir, "documents"))
+
+
 def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(read(spark, sf_dir, "documents"))
 
@@ -25,7 +33,13 @@ def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    found = [op4_pareto_mix, op7_line_cleaning, op10_deobfuscated_pii]
+    found = [
+        op2_bin_completion_packing,
+        op3_wavelet_tokens,
+        op4_pareto_mix,
+        op7_line_cleaning,
+        op10_deobfuscated_pii,
+    ]
     return {f.__name__: f for f in found}
 
 

@@ -67,3 +67,11 @@ def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
         end += 1
     if end > start:
         yield start, end
+
+
+def utf8(column) -> list[bytes]:
+    """The texts of an Arrow column as bytes; null is an empty text."""
+    import pyarrow as pa
+
+    binary = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    return [b"" if x is None else x for x in column.cast(binary).to_pylist()]
