@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, mixing, packing, pii, wavelet
+from . import lines, mixing, packing, pii, toxicity, wavelet
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(read(spark, sf_dir, "documents"))
 
 
+def op5_dictionary_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.query(read(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def llm_queries() -> dict[str, Query]:
         op2_bin_completion_packing,
         op3_wavelet_tokens,
         op4_pareto_mix,
+        op5_dictionary_toxicity,
         op7_line_cleaning,
         op10_deobfuscated_pii,
     ]
