@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, mixing, packing, pii, toxicity, wavelet
+from . import ann, lines, mixing, odd_sketch, packing, phrases, pii, toxicity, url_tree, wavelet
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.query(read(spark, sf_dir, "embeddings"))
+
+
 def op2_bin_completion_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(read(spark, sf_dir, "documents"))
 
@@ -28,21 +32,37 @@ def op5_dictionary_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_odd_sketch_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.query(read(spark, sf_dir, "documents"))
+
+
 def op7_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.query(read(spark, sf_dir, "documents"))
 
 
+def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_tree.query(read(spark, sf_dir, "pages"))
+
+
+def op9_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.query(read(spark, sf_dir, "documents"))
+
+
 def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(read(spark, sf_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Query]:
     found = [
+        op1_rotated_codes,
         op2_bin_completion_packing,
         op3_wavelet_tokens,
         op4_pareto_mix,
         op5_dictionary_toxicity,
+        op6_odd_sketch_duplicates,
         op7_line_cleaning,
+        op8_path_templates,
+        op9_repeated_phrases,
         op10_deobfuscated_pii,
     ]
     return {f.__name__: f for f in found}

@@ -224,7 +224,7 @@ def _statistics_of(ordinary: bytes, toxic: bytes):
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """Add the score of each text, from 0 to 1."""
+    """Add the score of each text, from 0 to 1, as column ``name``."""
     ship(docs.sparkSession)
 
     def of(texts):
