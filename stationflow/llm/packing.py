@@ -7,7 +7,8 @@ by length, and the plan is made for these counts (that table, at most ``capacity
 2. Bin completion: around the largest document left, the undominated fillings of the rest of the sequence are listed,
    least waste first, and one is applied as often as the counts allow. A branch ends when its waste exceeds what
    any plan with one sequence less than the incumbent may waste. Better plans become incumbents.
-3. The search ends at the lower bound on the number of sequences, or after ``nodes`` nodes; the incumbent stands.
+3. The search ends at the lower bound on the number of sequences, or after turning back ``nodes`` times; the incumbent
+   stands.
 
 The plan is a list of (filling, times). Pieces get a rank among those of their length, and the rank gives sequence and
 place. Lengths with many pieces are ranked in blocks by hash, so no length, however common, is handled by one task.
@@ -31,10 +32,10 @@ from .tokens import encoder, vocabulary_path
 CAPACITY = 4096
 END_ID = 1
 ROWS_PER_BLOCK = 200_000
-#: Nodes of the search, fillings tried per node and steps to find them.
-NODES = 20_000
+#: How often the search may turn back, fillings tried per node and steps to find them.
+NODES = 2_000
 FILLINGS = 6
-STEPS = 400
+STEPS = 300
 
 Plan = list[tuple[tuple[tuple[int, int], ...], int]]  # ((length, how many), ...), times
 
@@ -147,7 +148,8 @@ def fillings(counts: dict[int, int], sizes: list[int], first: int, capacity: int
     found: list[tuple[int, tuple[tuple[int, int], ...]]] = []
     room, steps = capacity - first, STEPS
     used = Counter([first])
-    start = bisect_left([-s for s in sizes], -room)
+    falling = [-s for s in sizes]
+    start = bisect_left(falling, -room)
     stack: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(start, room, ())]
     while stack and steps:
         steps -= 1
@@ -155,7 +157,7 @@ def fillings(counts: dict[int, int], sizes: list[int], first: int, capacity: int
         while at < len(sizes) and (sizes[at] > rest or counts[sizes[at]] - (sizes[at] == first) <= 0):
             at += 1
         if at == len(sizes):
-            if not _dominated(counts, sizes, chosen, rest, used):
+            if not _dominated(counts, sizes, falling, chosen, rest, used):
                 found.append((rest, ((first, 1), *chosen)))
                 if rest == 0 and len(found) >= FILLINGS:
                     break
@@ -171,15 +173,14 @@ def fillings(counts: dict[int, int], sizes: list[int], first: int, capacity: int
     return [f for _, f in found[:FILLINGS]] or [((first, 1),)]
 
 
-def _dominated(counts, sizes, chosen, slack, used) -> bool:
-    taken = used + Counter(dict(chosen))
+def _dominated(counts, sizes, falling, chosen, slack, used) -> bool:
+    """``falling`` holds the negated lengths, so that lengths within the slack are found by halving."""
     if slack == 0:
         return False
+    taken = used + Counter(dict(chosen))
     for size, _ in chosen:
-        for larger in sizes:
-            if larger <= size:
-                break
-            if larger <= size + slack and counts[larger] > taken[larger]:
+        for at in range(bisect_left(falling, -size - slack), bisect_left(falling, -size)):
+            if counts[sizes[at]] > taken[sizes[at]]:
                 return True
     smallest = next((s for s in reversed(sizes) if counts[s] > taken[s]), None)
     return smallest is not None and smallest <= slack
@@ -209,9 +210,9 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     levels: list[list] = [[fillings(left, sizes, sizes[0], capacity)[::-1], None]]
     waste, bins = 0, 0
     while levels and nodes and n_best > least:
-        nodes -= 1
         untried, taken = levels[-1]
         if taken:  # undo, then try the next
+            nodes -= 1
             filling, times, lost = taken
             for size, n in filling:
                 left[size] += n * times

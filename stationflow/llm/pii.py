@@ -97,7 +97,7 @@ LOOKALIKES = dict(
     )
 )
 #: Characters without width.
-INVISIBLE = frozenset("­​‌‍⁠﻿")
+INVISIBLE = frozenset("\u00ad\u200b\u200c\u200d\u2060\ufeff")
 _SIGNS = frozenset("@.+-()_%")
 NUMBER_WORDS = {w: str(n) for n, w in enumerate("zero one two three four five six seven eight nine".split())}
 _NUMBER = "|".join(NUMBER_WORDS)
@@ -107,7 +107,8 @@ _SPELLED_WORD = re.compile(rf"(?i)plus|dot|{_NUMBER}|[0-9]")
 SPELLED_DIGITS = 4
 _AT = re.compile(r"(?i)\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*")
 _DOT = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*")
-_SPOKEN = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-]) at (?=[A-Za-z0-9-]+ dot [A-Za-z0-9-])")
+#: Not after "at the dot ...", which is prose.
+_SPOKEN = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-]) at (?!(?:the|an?|this|that) )(?=[A-Za-z0-9-]+ dot [A-Za-z0-9-])")
 _SPOKEN_DOT = re.compile(r"(?i)(?<=[A-Za-z0-9-]) dot (?=[A-Za-z0-9-])")
 _TRIGGER = re.compile(rf"(?i)[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]|\bdot\b|\b(?:{_NUMBER})[ ,-]+(?:{_NUMBER})\b")
 
@@ -147,12 +148,15 @@ class Mapped:
             starts += self.starts[at:begin]
             ends += self.ends[at:begin]
             changed += self.changed[at:begin]
+            drop = begin < end and not new
             if begin < end:
                 text.append(new)
                 starts += [self.starts[begin]] * len(new)
                 ends += [self.ends[end - 1]] * len(new)
                 changed += [True] * len(new)
             at = end
+            if drop and end < len(self.changed):  # the character after a dropped one stands for it
+                self.changed[end] = True
         self.text = "".join([*text, self.text[at:]])
         self.starts = starts + self.starts[at:]
         self.ends = ends + self.ends[at:]

@@ -11,6 +11,8 @@ from functools import cache
 
 #: Pieces of a lower-case ASCII word, as the tokenizer's own pattern finds them there. Fixed value.
 _PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Words that the pieces stand for; the tokenizer writes other bytes in a way of its own.
+_PRINTABLE = re.compile(rb"[!-~]+")
 _ADDED = b"<|"
 KEPT_WORDS = 400_000
 #: Longer words are encoded but not kept.
@@ -38,7 +40,7 @@ class WordEncoder:
         return ids
 
     def _word(self, word: bytes) -> bytes:
-        if word.isascii() and _ADDED not in word:
+        if _PRINTABLE.fullmatch(word) and _ADDED not in word:
             return b"".join([self._piece(p) for p in _PIECES.findall(word.lower())])
         encoded = self._tokenizer.encode(word.decode("utf-8"), add_special_tokens=False)
         return b"".join(i.to_bytes(4, "little") for i in encoded.ids)
