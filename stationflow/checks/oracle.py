@@ -181,6 +181,13 @@ CTES["summary"] = (
 )
 CTES["long"] = " UNION ALL ".join(f"SELECT city, '{m}' AS measure, {m} AS value FROM summary" for m in _MEANS)
 CTES["long_all"] = "SELECT * FROM long UNION ALL SELECT 'all', measure, avg(value) FROM long GROUP BY measure"
+FAR_CITY = "CASE WHEN station_name IN ('S1', 'S4', 'S7') THEN 'porto' ELSE city END"
+CTES["far_summary"] = (
+    f"SELECT {FAR_CITY} AS city, "
+    + listed(f"{half_up(f'avg({c})', 2)} AS {name}" for name, c in _MEANS.items())
+    + " FROM cleaned GROUP BY 1"
+)
+CTES["far_long"] = " UNION ALL ".join(f"SELECT city, '{m}' AS measure, {m} AS value FROM far_summary" for m in _MEANS)
 CTES["dense"] = """
     SELECT l_shipdate AS date, 'S' || CAST(l_suppkey AS VARCHAR) AS station_name,
            CASE l_returnflag WHEN 'A' THEN 'athens' WHEN 'N' THEN 'ancona' ELSE 'zaragoza' END AS city,
@@ -305,12 +312,12 @@ def _fill(function: str, columns, table: str, default: str | None = None) -> str
     return f"SELECT {filled} FROM readings AS t, (SELECT {stats} FROM readings) AS m"
 
 
-def _radar() -> str:
+def _radar(table: str = "long", names=CITY_LEVELS) -> str:
     cities = listed(
-        f"{half_up(f'''max(CASE WHEN city = '{c}' THEN value END)''', 1)} AS {c.capitalize()}" for c in CITY_LEVELS
+        f"{half_up(f'''max(CASE WHEN city = '{c}' THEN value END)''', 1)} AS {c.capitalize()}" for c in names
     )
     label = " ".join(f"WHEN '{m}' THEN '{text}'" for m, text in SUMMARY_MEASURES.items())
-    return f"SELECT CASE measure {label} END AS pollutant, {cities} FROM long GROUP BY measure"
+    return f"SELECT CASE measure {label} END AS pollutant, {cities} FROM {table} GROUP BY measure"
 
 
 def _sequences() -> str:
@@ -354,6 +361,7 @@ def all_sql() -> dict[str, str]:
                     WHEN position <= floor(all_starts * CAST(0.85 AS DOUBLE)) THEN 'val' ELSE 'test' END"""
     flags = [f"CAST(city = '{c}' AS INTEGER) AS city_{c}" for c in CITY_LEVELS]
     flags += [f"CAST({season('month(date)')} = '{s}' AS INTEGER) AS season_{s}" for s in SEASON_LEVELS]
+    far_flags = [f"CAST({FAR_CITY} = '{c}' AS INTEGER) AS city_{c}" for c in [*CITY_LEVELS, "porto"]]
     unified = f"SELECT {_rounded(RAW_COLUMNS)} FROM unified"
 
     bodies = {
@@ -361,10 +369,13 @@ def all_sql() -> dict[str, str]:
         "parquet_roundtrip": "SELECT * FROM readings",
         "read_dataset": "SELECT * FROM readings",
         "rename_columns": f"""
-            SELECT {listed(c for c in READING_COLUMNS if c not in ('city', 'date'))},
-                   strftime(date, '%Y-%m-%d %H:%M:%S') AS date, 'C' || substr(station_name, 2) AS code,
-                   CAST(substr(station_name, 2) AS INTEGER) AS id, 'unlisted' AS remark
-            FROM readings WHERE city = 'athens'""",
+            SELECT {listed(c for c in READING_COLUMNS if c not in (*_VANISHED, 'date'))},
+                   {listed(f"CASE WHEN city <> 'zaragoza' THEN {c} END AS {c}" for c in _VANISHED)},
+                   strftime(date, '%Y-%m-%d %H:%M:%S') AS date,
+                   CASE WHEN city = 'athens' THEN 'C' || substr(station_name, 2) END AS code,
+                   CASE WHEN city = 'athens' THEN CAST(substr(station_name, 2) AS INTEGER) END AS id,
+                   CASE WHEN city = 'athens' THEN 'unlisted' END AS remark
+            FROM readings""",
         "unify_sources": unified,
         "project_canonical": "SELECT * FROM readings",
         "fahrenheit_to_celsius": f"SELECT station_name, date, city, {celsius} FROM readings",
@@ -419,6 +430,26 @@ def all_sql() -> dict[str, str]:
         "one_hot": f"SELECT station_name, date, {listed(flags)} FROM readings",
         "model_matrix": _matrix(),
         "finite_only": "SELECT station_name, date, temp, CASE WHEN isfinite(x) THEN x END AS x FROM special",
+        "drop_accounting_special": f"""
+            SELECT rows_before, rows_after, rows_before - rows_after AS rows_dropped,
+                   {r6('CASE WHEN rows_before > 0 THEN (rows_before - rows_after) * 100.0 / rows_before ELSE 0.0 END')}
+                   AS percent_dropped
+            FROM (SELECT count(*) AS rows_before,
+                         count(*) FILTER (WHERE x IS NOT NULL AND NOT isnan(x) AND temp IS NOT NULL) AS rows_after
+                  FROM special) AS c""",
+        "null_counts_special": """
+            SELECT count(*) - count(station_name) AS station_name, count(*) - count(date) AS date,
+                   count(*) - count(temp) AS temp, count(*) FILTER (WHERE x IS NULL OR isnan(x)) AS x FROM special""",
+        "exact_median_fill_special": """
+            SELECT station_name, date, coalesce(temp, mt) AS temp,
+                   coalesce(CASE WHEN NOT isnan(x) THEN x END, mx) AS x
+            FROM special, (SELECT median(temp) AS mt, median(x) FILTER (WHERE NOT isnan(x)) AS mx FROM special) AS m""",
+        "radar_pivot_other_city": _radar("far_long", [*CITY_LEVELS, "porto"]),
+        "one_hot_other_city": f"SELECT station_name, date, {listed([*far_flags, *flags[len(CITY_LEVELS):]])} FROM readings",
+        "column_medians_bracketed": "SELECT "
+        + listed(f"quantile_disc({c}, 0.5) AS {c}" for c in [*POLLUTANTS, "l_extendedprice"])
+        + " FROM dense",
+        "window_features_cut": _window_dense(),
         "finite_check": """
             SELECT bool_and(coalesce(isfinite(temp), false)) AS temp, bool_and(coalesce(isfinite(x), false)) AS x
             FROM special""",

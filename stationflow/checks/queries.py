@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from ..operators import clean, features, matrix, medians, metrics, sequences, su
 from ..operators.snapshot import snapshot_features
 from ..plans import batch_predict, build_ml_dataset, load_sources, train_all
 from ..plans.ml_dataset import ml_features
-from ..schemas import CITY_LEVELS, IMPUTED, POLLUTANTS, ROLLING, TARGETS
+from ..schemas import IMPUTED, POLLUTANTS, ROLLING, TARGETS
 from ..sources import read_dataset, shared_dir, staged, write_csv, write_parquet
 from . import views
 
@@ -97,8 +98,10 @@ def read_dataset_csv(spark, sf_dir):
 
 @_query
 def rename_columns(spark, sf_dir):
-    (_, athens), *_ = views.city_sources(spark, sf_dir)
-    return clean.rename_columns(athens)
+    renamed = [
+        clean.rename_columns(frame).withColumn("city", F.lit(spec.city)) for spec, frame in views.city_sources(spark, sf_dir)
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), renamed)
 
 
 @_query
@@ -261,7 +264,7 @@ def summary_aqi(spark, sf_dir):
 
 @_query
 def radar_pivot(spark, sf_dir):
-    return summary.radar_pivot(summary_of(spark, sf_dir), CITY_LEVELS)
+    return summary.radar_pivot(summary_of(spark, sf_dir))
 
 
 @_query
@@ -325,6 +328,50 @@ def finite_only(spark, sf_dir):
     return matrix.finite_only(_with_special_values(views.readings(spark, sf_dir)), ["x"])
 
 
+@_query
+def drop_accounting_special(spark, sf_dir):
+    return rounded(features.drop_accounting(_with_special_values(views.readings(spark, sf_dir))))
+
+
+@_query
+def null_counts_special(spark, sf_dir):
+    return medians.null_counts(_with_special_values(views.readings(spark, sf_dir)))
+
+
+@_query
+def exact_median_fill_special(spark, sf_dir):
+    return medians.exact_median_fill(_with_special_values(views.readings(spark, sf_dir)), ["x", "temp"])
+
+
+def _far_city(readings: DataFrame) -> DataFrame:
+    """Readings of which some belong to a city that no schema names."""
+    city = F.when(F.col("station_name").isin("S1", "S4", "S7"), "porto").otherwise(F.col("city"))
+    return readings.withColumn("city", city)
+
+
+@_query
+def radar_pivot_other_city(spark, sf_dir):
+    return summary.radar_pivot(summary.city_summary(_far_city(cleaned(spark, sf_dir))))
+
+
+@_query
+def one_hot_other_city(spark, sf_dir):
+    readings = features.temporal_features(_far_city(views.readings(spark, sf_dir)))
+    return matrix.one_hot(readings.select(*KEYS, "city", "season"))
+
+
+@_query
+def column_medians_bracketed(spark, sf_dir):
+    dense = views.readings_dense(spark, sf_dir)
+    return medians.column_medians(dense, [*POLLUTANTS, "l_extendedprice"], sample_rows=5_000)
+
+
+@_query
+def window_features_cut(spark, sf_dir):
+    dense = staged(views.readings_dense(spark, sf_dir), "dense")
+    return rounded(features.window_features(dense, views.DENSE_ORDER, rows_per_block=150), only=[*ROLLING, *TARGETS])
+
+
 @_query
 def finite_check(spark, sf_dir):
     return matrix.finite_check(_with_special_values(views.readings(spark, sf_dir)), ["temp", "x"])
@@ -414,7 +461,7 @@ def model_comparison(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    return train_all(staged(ml_dataset(spark, sf_dir), "ml_dataset"), iterations=5, depth=4)
+    return train_all(staged(ml_dataset(spark, sf_dir), "ml_dataset"))
 
 
 @_query

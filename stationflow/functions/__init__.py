@@ -9,6 +9,7 @@ from .expressions import (
     half_up,
     is_finite,
     is_weekend,
+    missing,
     season,
     wind_direction,
     wind_speed,
@@ -17,5 +18,5 @@ from .expressions import (
 __all__ = [
     "aqi_alert", "aqi_description", "aqi_label", "aqi_level", "aqi_level_by_key",
     "capitalize_first", "celsius", "finite_or_null", "guarded_ratio", "half_up", "is_finite",
-    "is_weekend", "season", "wind_direction", "wind_speed",
+    "is_weekend", "missing", "season", "wind_direction", "wind_speed",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _INFINITIES = [float("inf"), float("-inf")]
@@ -51,8 +51,16 @@ def finite_or_null(value: Column) -> Column:
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Round half away from zero on the decimal form, so 1.005 gives 1.01."""
-    return F.round(value.try_cast("decimal(38,12)"), digits).cast("double")
+    """Round half away from zero on the decimal form, so 1.005 gives 1.01; on the double beyond decimals."""
+    exact = F.round(value.try_cast("decimal(38,12)"), digits).cast("double")
+    return F.coalesce(exact, F.round(value.cast("double"), digits))
+
+
+def missing(df: DataFrame, column: str) -> Column:
+    """True for null and, in floating-point columns, NaN."""
+    value = F.col(column)
+    real = dict(df.dtypes)[column] in ("double", "float")
+    return value.isNull() | F.isnan(value) if real else value.isNull()
 
 
 def capitalize_first(text: Column) -> Column:

@@ -6,7 +6,7 @@ Here large groups are cut into *blocks* that follow the order of the group:
 * about one row in ``rows_per_block`` is picked by a hash of its order key, and the group is cut before it.
   The choice depends on the row alone, so every run and every retried task cuts at the same places, and
   there are only about (rows / rows_per_block) cuts in all: few enough to look at in the driver and to broadcast.
-  Should there be more than ``MAX_CUTS``, fewer rows are picked.
+  Tables of more than ``rows_per_block * MAX_CUTS / 2`` rows get longer blocks, by their number of rows.
 * each row finds its block map-side, so rows move once, by (group, block).
 
 Without a cut, as in any table of moderate groups, the plan is the plain window: one shuffle, one sort.
@@ -35,13 +35,14 @@ def find_cuts(
 ) -> list[Row]:
     """Group and order keys of the rows before which a group is cut."""
     keys = df.select(*group, *order)
-    digest = F.xxhash64(*keys.columns)
-    while True:
-        # Rows picked at a multiple of the rate are a subset, so picking fewer just merges blocks.
-        found = keys.filter(F.pmod(digest, F.lit(rows_per_block)) == 0).distinct().limit(max_cuts + 1).collect()
-        if len(found) <= max_cuts:
-            return found
-        rows_per_block *= 8
+    # The rate is chosen once, from the number of rows: far below ``max_cuts`` keys are expected. Whether a key is
+    # picked is a matter of its hash, so a limit is not needed for the result, only to fail early on a bad hash.
+    rate = max(rows_per_block, -(-2 * keys.count() // max_cuts))
+    picked = keys.filter(F.pmod(F.xxhash64(*keys.columns), F.lit(rate)) == 0).distinct()
+    found = picked.limit(max_cuts + 1).collect()
+    if len(found) > max_cuts:
+        raise ValueError(f"more than {max_cuts} cuts at a rate of one in {rate} rows")
+    return found
 
 
 def with_blocks(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions import guarded_ratio, is_weekend, season, wind_direction, wind_speed
+from ..functions import guarded_ratio, is_weekend, missing, season, wind_direction, wind_speed
 from ..schemas import POLLUTANTS
 from .blocks import ROWS_PER_BLOCK, with_row_frames
 
@@ -120,8 +120,11 @@ def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 
 def drop_accounting(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: how many rows :func:`drop_nulls` would see, keep and drop, and the dropped percentage."""
-    complete = [F.col(c).isNotNull() for c in (columns or df.columns)]
+    """One row: how many rows :func:`drop_nulls` would see, keep and drop, and the dropped percentage.
+
+    NaN counts as null, as there.
+    """
+    complete = [~missing(df, c) for c in (columns or df.columns)]
     kept = complete[0]
     for condition in complete[1:]:
         kept = kept & condition

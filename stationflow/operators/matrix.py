@@ -13,8 +13,9 @@ from .medians import exact_median_fill
 from .scalars import with_scalars
 
 IDENTIFIERS = ("date", "station_name")
+#: Categories and the levels that always get a column, also where the data lacks them.
 CATEGORIES = {"city": CITY_LEVELS, "season": SEASON_LEVELS}
-_MAX_LEVELS = 1000
+MAX_LEVELS = 1000
 
 
 def drop_null_targets(df: DataFrame, targets: Sequence[str] = TARGETS) -> DataFrame:
@@ -26,23 +27,40 @@ def drop_columns(df: DataFrame, columns: Sequence[str] = (*TARGETS, *IDENTIFIERS
     return df.drop(*columns)
 
 
-def category_levels(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a categorical column; an error if there are too many for one column each."""
-    found = [r[0] for r in df.select(column).dropna().distinct().limit(_MAX_LEVELS + 1).collect()]
-    if len(found) > _MAX_LEVELS:
-        raise ValueError(f"{column} has more than {_MAX_LEVELS} values; it is not categorical")
+def category_levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str]:
+    """Sorted distinct values of a categorical column; an error if there are more than ``max_levels``."""
+    found = [r[0] for r in df.select(column).dropna().distinct().limit(max_levels + 1).collect()]
+    if len(found) > max_levels:
+        raise ValueError(f"{column} has more than {max_levels} values; it is not categorical")
     return sorted(found)
 
 
-def one_hot(df: DataFrame, categories: dict[str, Sequence[str] | None] = CATEGORIES) -> DataFrame:
+def with_known(known: Sequence[str], found: Sequence[str]) -> list[str]:
+    """The known levels, then the others that were found."""
+    return [*known, *(v for v in found if v not in known)]
+
+
+def data_categories(df: DataFrame, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
+    """The levels of city and season: the known ones and all others that the data holds."""
+    return {
+        column: with_known(known, category_levels(df, column, max_levels))
+        for column, known in CATEGORIES.items()
+        if column in df.columns
+    }
+
+
+def one_hot(
+    df: DataFrame, categories: dict[str, Sequence[str] | None] | None = None, max_levels: int = MAX_LEVELS
+) -> DataFrame:
     """Replace each categorical column by one 0/1 column per level; a null sets none of them.
 
-    Levels of None are read from the data.
+    Default: city and season with their known levels and all others that the data holds. Levels of None are those of
+    the data; given levels are taken as they are, as for data that a fitted model sees later.
     """
-    for column, levels in categories.items():
+    for column, levels in (data_categories(df, max_levels) if categories is None else categories).items():
         if column not in df.columns:
             continue
-        levels = category_levels(df, column) if levels is None else levels
+        levels = category_levels(df, column, max_levels) if levels is None else levels
         flags = {f"{column}_{v}": F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in levels}
         df = df.withColumns(flags).drop(column)
     return df
@@ -63,15 +81,18 @@ def finite_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def prepare_features(
-    df: DataFrame, targets: Sequence[str] = TARGETS, keep: Sequence[str] = ()
+    df: DataFrame,
+    targets: Sequence[str] = TARGETS,
+    keep: Sequence[str] = (),
+    categories: dict[str, Sequence[str] | None] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Rows with targets, encoded and filled; returns the frame and the ordered feature columns.
 
     Every column is a feature but the identifiers, which are dropped, and the targets and ``keep``, which come last.
-    Features and targets are float32.
+    Features and targets are float32. ``categories`` as in :func:`one_hot`.
     """
     labelled = drop_null_targets(df, targets)
-    encoded = one_hot(labelled.drop(*[c for c in IDENTIFIERS if c not in keep]))
+    encoded = one_hot(drop_columns(labelled, [c for c in IDENTIFIERS if c not in keep]), categories)
     features = [c for c in encoded.columns if c not in (*targets, *keep)]
     filled = exact_median_fill(encoded, features)
     return to_float32(filled.select(*features, *targets, *keep), [*features, *targets]), features

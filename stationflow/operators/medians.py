@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..functions import missing
 from ..sources.storage import staged
 from .blocks import ROWS_PER_BLOCK, running_total
 from .scalars import one_row, with_scalars
@@ -96,7 +97,7 @@ def column_medians(
 ) -> DataFrame:
     """One row with the median of each column: the lower middle value, so always a value that occurs.
 
-    The result is exact. With ``accuracy`` it is ``percentile_approx`` instead: one pass, but the sketches of all tasks
+    The result is exact; NaN is the largest value. With ``accuracy`` it is ``percentile_approx`` instead: one pass, but the sketches of all tasks
     meet in one.
     """
     if accuracy is not None:
@@ -121,9 +122,10 @@ def exact_medians(
 
 
 def fill_with(df: DataFrame, stats: DataFrame, default: float | None = None) -> DataFrame:
-    """Replace nulls in the columns of the one-row frame ``stats``; ``default`` where the statistic is null too."""
+    """Replace nulls and NaN in the columns of the one-row frame ``stats``; ``default`` where the statistic is null."""
     filled = {
-        c: F.coalesce(F.col(c), F.col(f"_stats.{c}"), F.lit(default).cast("double")) for c in stats.columns
+        c: F.coalesce(F.when(~missing(df, c), F.col(c)), F.col(f"_stats.{c}"), F.lit(default).cast("double"))
+        for c in stats.columns
     }
     return with_scalars(df, stats).withColumns(filled).drop("_stats")
 
@@ -135,12 +137,12 @@ def median_impute(df: DataFrame, columns: Sequence[str], accuracy: int | None =
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: nulls per column."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in (columns or df.columns)])
+    """One row: nulls per column; NaN counts as null."""
+    return df.agg(*[F.count_if(missing(df, c)).alias(c) for c in (columns or df.columns)])
 
 
 def exact_median_fill(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Fill nulls with the interpolated median, in the numeric columns that have any.
+    """Fill nulls and NaN with the interpolated median, in the numeric columns that have any.
 
     Finding those columns takes one pass that returns one row; a column without values stays null.
     """

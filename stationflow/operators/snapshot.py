@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,12 @@ def with_defaults(df: DataFrame, defaults: dict = SNAPSHOT_DEFAULTS) -> DataFram
     return df.withColumns({name: field(name, default) for name, default in defaults.items()})
 
 
-def snapshot_features(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def snapshot_features(
+    df: DataFrame,
+    keep: tuple[str, ...] = (),
+    cities: Sequence[str] = CITY_LEVELS,
+    seasons: Sequence[str] = SEASON_LEVELS,
+) -> DataFrame:
     """The model inputs of each reading, plus the columns in ``keep``.
 
     Rolling and lagged values repeat the reading itself; ratios are 0 where the divisor is not positive.
@@ -45,6 +52,6 @@ def snapshot_features(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         guarded_ratio(F.col("pm10"), F.col("pm2_5"), 0.0).alias("pm10_pm25_ratio"),
         guarded_ratio(F.col("no2"), F.col("o3"), 0.0).alias("no2_o3_balance"),
         *repeated.values(),
-        *[(F.col("city") == c).cast("int").alias(f"city_{c}") for c in CITY_LEVELS],
-        *[(F.col("season") == s).cast("int").alias(f"season_{s}") for s in SEASON_LEVELS],
+        *[(F.col("city") == c).cast("int").alias(f"city_{c}") for c in cities],
+        *[(F.col("season") == s).cast("int").alias(f"season_{s}") for s in seasons],
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import aqi_alert, aqi_description, aqi_label, aqi_level_by_key, capitalize_first, half_up
 from ..schemas import CITY_LEVELS, SUMMARY_MEASURES
+from .matrix import category_levels, with_known
 from .medians import null_counts
 from .scalars import with_scalars
 
@@ -84,8 +85,12 @@ def summary_aqi(summary: DataFrame) -> DataFrame:
     )
 
 
-def radar_pivot(summary: DataFrame, cities: Sequence[str] = CITY_LEVELS) -> DataFrame:
-    """One row per pollutant, one column per city (name capitalised), means rounded to 1 digit."""
+def radar_pivot(summary: DataFrame, cities: Sequence[str] | None = None) -> DataFrame:
+    """One row per pollutant, one column per city (name capitalised), means rounded to 1 digit.
+
+    Default: the known cities and all others of the summary.
+    """
+    cities = with_known(CITY_LEVELS, category_levels(summary, "city")) if cities is None else cities
     names = [c[:1].upper() + c[1:] for c in cities]
     label: Column = F
     for measure, text in SUMMARY_MEASURES.items():
@@ -98,10 +103,17 @@ def radar_pivot(summary: DataFrame, cities: Sequence[str] = CITY_LEVELS) -> Data
     )
 
 
-def null_profile(df: DataFrame, columns: Sequence[str] | None = None, top: int | None = 20) -> DataFrame:
-    """(column, nulls), most nulls first; the ``top`` columns only, or all of them for None."""
+def null_profile(
+    df: DataFrame, columns: Sequence[str] | None = None, top: int | None = 20, only_incomplete: bool = False
+) -> DataFrame:
+    """(column, nulls), most nulls first; the ``top`` columns only, or all of them for None.
+
+    NaN counts as null. ``only_incomplete`` leaves out columns without nulls.
+    """
     names = list(columns or df.columns)
     profile = null_counts(df, names).unpivot([], names, "column", "nulls").orderBy(F.desc("nulls"), "column")
+    if only_incomplete:
+        profile = profile.filter("nulls > 0")
     return profile if top is None else profile.limit(top)
 
 

@@ -49,7 +49,7 @@ def train_all(
     if dataset.isEmpty():
         return None
     frame, features = training_frame(dataset)
-    frame = staged(frame, "training")
+    frame = staged(frame, "training", partition_by=["split"])
     models, metrics = {}, None
     for target in targets:
         models[target], measured = train_target(frame, features, target, iterations, depth)

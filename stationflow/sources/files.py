@@ -20,7 +20,8 @@ def read_csv(
     """CSV with a header. Known columns get their types by name, others and those in ``text`` stay strings.
 
     Only the header is looked at before the query runs; ``infer`` makes Spark read everything once more instead.
-    Values that do not fit their type become null. In a directory only file names that match ``files`` are read.
+    Values that do not fit their type become null. In a directory only file names that match ``files`` are read; a file
+    whose header has other columns, or another order, is an error when the query runs.
     """
     reader = spark.read.option("header", True).option("pathGlobFilter", files)
     if infer:
@@ -31,7 +32,8 @@ def read_csv(
         typed = column in _KNOWN and column not in text
         return StructField(header, type_of(column) if typed else StringType())
 
-    return reader.schema(StructType([field(h) for h in reader.csv(path).columns])).csv(path)
+    schema = StructType([field(h) for h in reader.csv(path).columns])
+    return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
 def read_source(spark: SparkSession, spec: SourceSpec, infer: bool = False) -> DataFrame:

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder path below the session's ``spark.checkpoint.dir``, which every executor can reach.
 
-    Without that setting only a local session gets a folder of its own; a cluster must name one.
+    Without that setting only a session in one process gets a folder of its own; a cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="stationflow-")
         spark.conf.set("spark.checkpoint.dir", base)
