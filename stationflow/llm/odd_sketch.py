@@ -5,13 +5,17 @@
 2. ``BANDS`` bands of ``ROWS`` MinHash samples put classes into buckets. All samples of a class are folded into a
    bitmap of ``SKETCH_BITS`` bits in which each sample flips one bit. The population count of the XOR of two bitmaps
    estimates the share of differing samples, most precisely where they are few, so it tells likely from unlikely links.
-3. First round: in each bucket every class is compared with the smallest one. Likely links are confirmed on the full
-   sets, and components are formed. Further rounds: in buckets that still hold several components, likely links between
-   different components are proposed (a spanning forest of them, no pair twice) and confirmed, until none is left.
-   So a bucket of n classes yields n links, not n², and no link that would join two components is missed.
+3. Verification: within each bucket the likely links are found from the bitmaps; a spanning forest of them leaves the
+   task. Their components, the candidate groups, contain all links between different sets.
+4. Confirmation: each candidate group gets the full sets of its members, each once, and links are confirmed in order
+   of their estimate; pairs that are connected already are skipped. A spanning forest of the confirmed links leaves the
+   task, and the components of these are the result. So no group yields more links than it has members.
+
+Buckets and groups of more than ``BLOCK_CLASSES`` or ``BLOCK_SETS`` members are dealt into blocks, and each task compares
+two blocks; comparisons of a group with itself remain quadratic in its number of different sets, without rows for them.
 
 A link at the threshold misses all bands with probability (1 - s^ROWS)^BANDS: 1e-7 at 0.8 and 7e-11 at 0.85; the margin
-of the estimate adds about 1e-6. Large buckets are compared block by block, in separate tasks.
+of the estimate adds about 1e-6.
 
 Texts without words have an empty set, link with nothing and are kept; so do null texts. With fewer words than a
 shingle the whole sequence is one shingle. Null ids take no part: component null, kept. Repeated rows with one id share
@@ -34,7 +38,9 @@ BANDS, ROWS = 40, 5
 SKETCH_BITS = 512
 #: A likely link: estimated similarity at most so far below the threshold (about five standard deviations).
 MARGIN = 0.15
-BLOCK_CLASSES = 10_000
+BLOCK_CLASSES, BLOCK_SETS = 10_000, 2_000
+#: Most bytes of a group's sets as bitmaps over the shingles of the group.
+_BITMAPS = 96 << 20
 _SLICE = 2 << 20
 
 
@@ -154,77 +160,114 @@ def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(made, f"id {id_type}, set binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """a, b and whether the full sets are linked."""
-    a, b = sets.toDF("ida", "set_a"), sets.toDF("idb", "set_b")
-    joined = pairs.join(a, F.col("a") == F.col("ida")).join(b, F.col("b") == F.col("idb")).select("a", "b", "set_a", "set_b")
-
-    def linked(left, right):
-        import pyarrow as pa
-
-        found = []
-        for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True):
-            common = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
-            common.sort()
-            both = int((common[1:] == common[:-1]).sum())
-            found.append(100 * both >= rule.percent * (len(common) - both))
-        return pa.array(found, pa.bool_())
-
-    return joined.select("a", "b", F.arrow_udf(linked, "boolean")("set_a", "set_b").alias("linked"))
-
-
 def _buckets(classes: DataFrame) -> DataFrame:
-    """key, id, hub and size of buckets with two classes or more; buckets with the same members count once."""
+    """key, id and size of buckets with two classes or more; buckets with the same members count once."""
     rows = classes.select("id", F.explode("bands").alias("key"))
     mark = F.xxhash64("id")
     bucket = rows.groupBy("key").agg(
-        F.min("id").alias("hub"), F.count("*").alias("size"), F.bit_xor(mark).alias("m1"), F.sum(mark % (1 << 31)).alias("m2")
+        F.min("id").alias("low"), F.count("*").alias("size"), F.bit_xor(mark).alias("m1"), F.sum(mark % (1 << 31)).alias("m2")
     )
-    same = Window.partitionBy("m1", "m2", "hub", "size").orderBy("key")
+    same = Window.partitionBy("m1", "m2", "low", "size").orderBy("key")
     several = bucket.filter("size > 1").withColumn("copy", F.row_number().over(same)).filter("copy = 1")
-    return rows.join(several.select("key", "hub", "size"), "key")
+    return rows.join(several.select("key", "size"), "key")
 
 
-def _proposals(left: DataFrame, limit: int) -> DataFrame:
-    """Likely links between different components of a bucket; ``left``: key, size, id, component, sketch, tried."""
-    id_type = left.schema["id"].dataType.simpleString()
-    blocks = F.ceil(F.col("size") / BLOCK_CLASSES).cast("int")
+def _in_blocks(members: DataFrame, size: int) -> DataFrame:
+    """Deal the members of a group (``size`` of them) into blocks; a member goes to every pair of blocks with its own."""
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (
-        left.withColumn("blocks", blocks)
+    return (
+        members.withColumn("blocks", F.ceil(F.col("size") / size).cast("int"))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "component", "sketch", "tried")
+        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        .drop("blocks", "own", "other", "size")
     )
 
+
+def _forest(sketch: np.ndarray, counts: np.ndarray, limit: int, percent: int, confirm=None) -> list[tuple[int, int]]:
+    """A spanning forest of the likely links, or of those that ``confirm`` accepts; the most similar come first.
+
+    ``confirm`` takes a member and an array of others and says which are linked.
+    """
+    n = len(sketch)
+    root, found = np.arange(n), []
+    for i in range(n - 1):
+        rest = np.arange(i + 1, n)
+        rest = rest[root[rest] != root[i]]
+        small, large = np.minimum(counts[rest], counts[i]), np.maximum(counts[rest], counts[i])
+        rest = rest[100 * small >= percent * large]
+        far = np.bitwise_count(sketch[rest] ^ sketch[i]).sum(1)
+        rest = rest[far <= limit]
+        if confirm is not None and len(rest):
+            rest = rest[confirm(i, rest)]
+        for j in rest:
+            if root[j] != root[i]:
+                found.append((i, int(j)))
+                root[root == root[j]] = root[i]
+    return found
+
+
+def _columns(table):
+    ids, counts = table.column("id"), np.asarray(table.column("n"))
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
+    return ids, counts, sketch
+
+
+def _pairs(ids, found):
+    import pyarrow as pa
+
+    left, right = ([p[x] for p in found] for x in (0, 1))
+    return pa.table({"a": ids.take(pa.array(left, pa.int64())), "b": ids.take(pa.array(right, pa.int64()))})
+
+
+def _likely(members: DataFrame, limit: int, percent: int) -> DataFrame:
+    """a, b: a spanning forest of the likely links of each bucket; ``members``: key, size, id, n, sketch."""
+    id_type = members.schema["id"].dataType.simpleString()
+
     def forest(table):
-        import pyarrow as pa
+        ids, counts, sketch = _columns(table)
+        return _pairs(ids, _forest(sketch, counts, limit, percent))
+
+    dealt = _in_blocks(members, BLOCK_CLASSES)
+    return dealt.groupBy("key", "low", "high").applyInArrow(forest, f"a {id_type}, b {id_type}").distinct()
+
 
-        ids, component = np.asarray(table.column("id")), np.asarray(table.column("component"))
-        _, root = np.unique(component, return_inverse=True)
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
-        tried = table.column("tried").to_pylist()
-        giant = np.bincount(root).argmax()
-        a, b = [], []
-        for i in np.flatnonzero(root != giant):
-            far = np.bitwise_count(sketch ^ sketch[i]).sum(1)
-            likely = (far <= limit) & (root != root[i])
-            if tried[i]:
-                likely &= ~np.isin(ids, tried[i])
-            while likely.any():
-                j = int(np.argmin(np.where(likely, far, SKETCH_BITS + 1)))
-                if not (tried[j] and ids[i] in tried[j]):
-                    a.append(min(ids[i], ids[j]))
-                    b.append(max(ids[i], ids[j]))
-                    root[root == root[j]] = root[i]
-                    likely &= root != root[i]
-                else:
-                    likely[j] = False
-        kind = table.schema.field("id").type
-        return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
-
-    found = dealt.groupBy("key", "low", "high").applyInArrow(forest, f"a {id_type}, b {id_type}")
-    return found.distinct()
+def _confirmer(sets: list[np.ndarray], counts: np.ndarray, percent: int):
+    """Which of some members link with one, on the full sets."""
+    flat = np.concatenate(sets)
+    values, place = np.unique(flat, return_inverse=True)
+    width = -(-len(values) // 64)
+    if len(sets) * width * 8 > _BITMAPS:
+
+        def one_by_one(i, others):
+            both = np.array([np.isin(sets[j], sets[i], assume_unique=True).sum() for j in others])
+            return 100 * both >= percent * (counts[i] + counts[others] - both)
+
+        return one_by_one
+    bits = np.zeros((len(sets), width), np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    np.bitwise_or.at(bits, (owner, place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
+
+    def at_once(i, others):
+        both = np.concatenate(
+            [np.bitwise_count(bits[others[k : k + 256]] & bits[i]).sum(1, dtype=np.int64) for k in range(0, len(others), 256)]
+        )
+        return 100 * both >= percent * (counts[i] + counts[others] - both)
+
+    return at_once
+
+
+def _confirmed(members: DataFrame, limit: int, percent: int) -> DataFrame:
+    """a, b: a spanning forest of the links of each candidate group; ``members``: group, size, id, n, sketch, set."""
+    id_type = members.schema["id"].dataType.simpleString()
+
+    def forest(table):
+        ids, counts, sketch = _columns(table)
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
+        return _pairs(ids, _forest(sketch, counts, limit, percent, _confirmer(sets, counts, percent)))
+
+    dealt = _in_blocks(members, BLOCK_SETS)
+    return dealt.groupBy("group", "low", "high").applyInArrow(forest, f"a {id_type}, b {id_type}").distinct()
 
 
 def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -233,45 +276,23 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     has = signed.filter("n_shingles > 0")
     keys = has.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
     first = Window.partitionBy("k1", "k2").orderBy("doc_id")
+    one_each = has.withColumn("copy", F.row_number().over(first)).filter("copy = 1")
     classes = staged(
-        has.withColumn("copy", F.row_number().over(first)).filter("copy = 1").select(F.col("doc_id").alias("id"), "bands", "sketch"),
-        "classes",
+        one_each.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch"), "classes"
     )
-    buckets = staged(_buckets(classes), "buckets")
-    sketch = classes.select("id", "sketch")
+    sketch = classes.select("id", "n", "sketch")
     limit = most_different(rule.percent)
 
-    # Likely links of each class with the smallest of its buckets.
-    stars = buckets.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    far = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    part = [F.conv(F.hex(F.substring("sketch", 8 * i + 1, 8)), 16, -10).cast("bigint") for i in range(SKETCH_BITS // 64)]
-    x = sketch.select(F.col("id").alias("ida"), *[p.alias(f"x{i}") for i, p in enumerate(part)])
-    y = sketch.select(F.col("id").alias("idb"), *[p.alias(f"y{i}") for i, p in enumerate(part)])
-    likely = stars.join(x, F.col("a") == F.col("ida")).join(y, F.col("b") == F.col("idb")).filter(far <= limit).select("a", "b")
-
-    wanted = buckets.select("id").distinct()
-    texts = docs.filter("doc_id is not null").select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = staged(_sets(texts, rule).dropDuplicates(["id"]), "sets")
-
-    tested = staged(_confirmed(likely, sets, rule), "tested")
-    found = components(tested.filter("linked").select("a", "b"))
-    while True:
-        member = buckets.join(found, "id", "left").select("key", "size", "id", F.coalesce("component", "id").alias("component"))
-        open_keys = member.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-        refused = tested.filter("not linked")
-        tried = (
-            refused.select(F.col("a").alias("id"), F.col("b").alias("x"))
-            .groupBy("id")
-            .agg(F.collect_set("x").alias("tried"))
-        )
-        left = member.join(open_keys.select("key"), "key", "left_semi").join(sketch, "id").join(tried, "id", "left")
-        proposed = staged(_proposals(left, limit), "proposed")
-        if not proposed.limit(1).count():
-            break
-        more = staged(_confirmed(proposed, sets, rule), "tested")
-        tested = tested.unionByName(more)
-        if more.filter("linked").limit(1).count():
-            found = components(tested.filter("linked").select("a", "b"))
+    likely = staged(_likely(_buckets(classes).join(sketch, "id"), limit, rule.percent), "likely")
+    groups = components(likely)
+    wanted = groups.select("id")
+    texts = docs.filter("doc_id is not null").select("doc_id", "text")
+    texts = texts.join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
+    sets = _sets(texts, rule).dropDuplicates(["id"])
+    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
+    members = groups.join(sizes, "component").join(sketch, "id").join(sets, "id")
+    links = staged(_confirmed(members.withColumnRenamed("component", "group"), limit, rule.percent), "confirmed")
+    found = components(links)
 
     rows = docs.select("doc_id").filter("doc_id is null")
     nobody = rows.select("doc_id", F.lit(None).cast("bigint").alias("n_shingles"), "doc_id", F.lit(True)).toDF(*_RESULT)
