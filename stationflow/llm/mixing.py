@@ -153,7 +153,7 @@ def mix(
     ratio = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
     plan = targets.select(
         F.col("source").alias("s_source"), "source_size", "target", F.floor(ratio).alias("whole"),
-        (ratio - F.floor(ratio)).alias("part"), F.round(F.expr("target - floor(target / nullif(source_size, 0)) * source_size")).cast("bigint").alias("rest"),
+        (ratio - F.floor(ratio)).alias("part"), F.round(F.col("target") - F.floor(ratio) * F.col("source_size")).cast("bigint").alias("rest"),
     )
 
     def ranked(df: DataFrame) -> DataFrame:
