@@ -40,7 +40,9 @@ MIN_MATCH = 6
 #: Sizes of the dictionaries in bytes.
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 1_024
 #: A word of the toxic dictionary occurs in this share of toxic documents, and so many times more often than elsewhere.
-LEAST_SHARE, LEAST_RATIO = 0.01, 6.0
+LEAST_SHARE, LEAST_RATIO = 0.02, 20.0
+#: And in so many of them at least.
+LEAST_DOCS = 3
 #: Around a word, so that it is trained as a whole.
 _STRIPPED = b".,;:!?|#*$%&()\"'"
 #: Where the content of a trained dictionary begins: after its three starting offsets. Fixed value.
@@ -103,15 +105,19 @@ def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.coalesce(fold == 0, F.lit(False))
 
 
-def labelled_sample(labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordinary_docs: int = ORDINARY_DOCS) -> DataFrame:
-    """doc_id and toxic of at most so many rows per class, without the held-out fold."""
-    clear = (
+def clear_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic, one row per id, without contradictions and without the held-out fold."""
+    return (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("high"))
         .filter(F.col("toxic") == F.col("high"))
         .select("doc_id", "toxic")
     )
+
+
+def labelled_sample(clear: DataFrame, toxic_docs: int = TOXIC_DOCS, ordinary_docs: int = ORDINARY_DOCS) -> DataFrame:
+    """At most so many rows per class, by a hash of their id."""
     order = F.xxhash64("doc_id")
     parts = [clear.filter(F.col("toxic") == y).orderBy(order, "doc_id").limit(n) for y, n in ((1, toxic_docs), (0, ordinary_docs))]
     return parts[0].unionByName(parts[1])
@@ -177,8 +183,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
     """Learn dictionaries and curve from labelled documents outside the held-out fold."""
     ship(docs.sparkSession)
     spark = docs.sparkSession
-    chosen = labelled_sample(labels.select("doc_id", "toxic"), toxic_docs, ordinary_docs).collect()  # bounded
-    share = sum(r["toxic"] for r in chosen) / len(chosen) if chosen else 0.0
+    clear = clear_labels(labels.select("doc_id", "toxic"))
+    chosen = labelled_sample(clear, toxic_docs, ordinary_docs).collect()  # bounded
+    share = clear.agg(F.avg("toxic")).first()[0] or 0.0
     if share in (0.0, 1.0):
         bias = 30.0 if share else -30.0
         return Model(b" " * 16, b" " * 16, (0.0,) * 9, (1.0,) * 9, (*(0.0,) * 9, bias))
@@ -195,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
     n_toxic = sum(r["toxic"] for r in chosen)
     rate, other = F.col("toxic") / n_toxic, F.col("ordinary") / (len(chosen) - n_toxic)
     lexicon = (
-        counted.filter((F.col("toxic") >= max(2, LEAST_SHARE * n_toxic)) & (rate > LEAST_RATIO * other))
+        counted.filter((F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic)) & (rate > LEAST_RATIO * other))
         .orderBy(F.desc("toxic"), "word")
         .limit(LEXICON)
         .collect()
@@ -208,8 +215,12 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
     known = texts.select("doc_id", "toxic", facts).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     if not known:
         return Model(ordinary, toxic, (0.0,) * 9, (1.0,) * 9, (*(0.0,) * 9, float(np.log(share / (1 - share)))))
-    curve = _fit_curve(np.array([r["x"] for r in known]), np.array([float(r["toxic"]) for r in known]))
-    return Model(ordinary, toxic, *curve)
+    is_toxic = np.array([float(r["toxic"]) for r in known])
+    means, scales, weights = _fit_curve(np.array([r["x"] for r in known]), is_toxic)
+    # The sample holds more toxic documents than the labels: move the curve back to their share.
+    held = min(max(is_toxic.mean(), 1e-6), 1 - 1e-6)
+    bias = weights[-1] + float(np.log(share / (1 - share)) - np.log(held / (1 - held)))
+    return Model(ordinary, toxic, means, scales, (*weights[:-1], bias))
 
 
 def _statistics_of(ordinary: bytes, toxic: bytes):
