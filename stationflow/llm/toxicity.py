@@ -135,12 +135,20 @@ def _words(texts):
     return pa.array(found, pa.list_(pa.string()))
 
 
-def _windows(texts):
-    import pyarrow as pa
+def _windows_of(most: int):
+    """At most so many short windows of each text, by a checksum."""
 
-    from .tables import utf8
+    def of(texts):
+        import zlib
+
+        import pyarrow as pa
 
-    return pa.array([[w for w in windows(t, 100)] for t in utf8(texts)], pa.list_(pa.binary()))
+        from .tables import utf8
+
+        found = [sorted(set(windows(t, 100)), key=lambda w: (zlib.crc32(w), w))[:most] for t in utf8(texts)]
+        return pa.array(found, pa.list_(pa.binary()))
+
+    return of
 
 
 def train_dictionaries(ordinary_windows: list[bytes], lexicon: list[tuple[str, int]]) -> tuple[bytes, bytes]:
@@ -207,7 +215,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
         .limit(LEXICON)
         .collect()
     )
-    piece = F.explode(F.arrow_udf(_windows, "array<binary>")("text")).alias("piece")
+    # Twice the windows wanted, over all ordinary documents: a bound on what the tasks send, whatever their number.
+    each = -(-2 * WINDOWS // (len(chosen) - n_toxic))
+    piece = F.explode(F.arrow_udf(_windows_of(each), "array<binary>")("text")).alias("piece")
     pieces = texts.filter("toxic = 0").select(piece).orderBy(F.xxhash64("piece"), "piece").limit(WINDOWS).collect()
     ordinary, toxic = train_dictionaries([bytes(r["piece"]) for r in pieces], [(r["word"], r["toxic"]) for r in lexicon])
 
