@@ -38,10 +38,10 @@ BANDS, ROWS = 40, 5
 SKETCH_BITS = 512
 #: A likely link: estimated similarity at most so far below the threshold (about five standard deviations).
 MARGIN = 0.15
-BLOCK_CLASSES, BLOCK_SETS = 10_000, 2_000
+BLOCK_CLASSES, BLOCK_SETS = 10_000, 1_000
 #: Most bytes of a group's sets as bitmaps over the shingles of the group.
-_BITMAPS = 96 << 20
-_SLICE = 2 << 20
+_BITMAPS = 32 << 20
+_SLICE = 1 << 20
 
 
 @dataclass(frozen=True)
