@@ -1,9 +1,11 @@
 """Toxicity by compression distance: two zstandard dictionaries, one length difference per window.
 
 * The ordinary dictionary is trained on windows of ordinary text.
-* The toxic dictionary is trained on what toxic text has beyond it: the words that recur in toxic documents and that
-  ordinary documents lack, as often as they occur. Its content is laid behind the ordinary content, so both
-  dictionaries compress ordinary text alike; the ordinary one gets filler of the same size there.
+* The toxic dictionary is not trained on whole toxic text, most of whose words are ordinary. A list replaces it: the
+  words that toxic documents have more often than chance explains and ordinary documents lack. Training arranges them
+  by how often they occur, and each listed word that it leaves out is added, so the dictionary holds the whole list.
+  The list is laid behind the ordinary content, so both dictionaries compress ordinary text alike; the ordinary one
+  gets filler of the same size there. Toxic phrases of ordinary words are not found.
 * A text is cut into windows of about ``WINDOW`` bytes at white space, all of it. Each window is compressed with both
   dictionaries, and the difference in length is its evidence. Matches start at ``MIN_MATCH`` bytes, so chance
   matches of syllables count little.
@@ -37,12 +39,12 @@ LEXICON = 4_000
 WINDOWS = 20_000
 WINDOW = 250
 MIN_MATCH = 6
-#: Sizes of the dictionaries in bytes.
+#: Sizes of the dictionaries in bytes; the toxic content is at least so large, and grows with the list.
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 1_024
-#: A word of the toxic dictionary occurs in this share of toxic documents, and so many times more often than elsewhere.
-LEAST_SHARE, LEAST_RATIO = 0.02, 20.0
-#: And in so many of them at least.
-LEAST_DOCS = 3
+#: A word of the toxic dictionary occurs so many times more often in toxic documents than elsewhere.
+LEAST_RATIO = 20.0
+#: And the probability of such a split, had chance dealt its documents to the two classes, is at most this.
+CHANCE = 1e-5
 #: Around a word, so that it is trained as a whole.
 _STRIPPED = b".,;:!?|#*$%&()\"'"
 #: Where the content of a trained dictionary begins: after its three starting offsets. Fixed value.
@@ -78,8 +80,9 @@ def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
 def _compressor(dictionary: bytes):
     import zstandard as zstd
 
+    log = max(15, len(dictionary).bit_length() + 1)  # the search tree has places for the whole dictionary
     parameters = zstd.ZstdCompressionParameters(
-        window_log=17, hash_log=15, chain_log=15, search_log=6, min_match=MIN_MATCH, target_length=64,
+        window_log=max(17, log), hash_log=15, chain_log=log, search_log=6, min_match=MIN_MATCH, target_length=64,
         strategy=zstd.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False,
     )
     return zstd.ZstdCompressor(dict_data=zstd.ZstdCompressionDict(dictionary), compression_params=parameters)
@@ -158,7 +161,11 @@ def train_dictionaries(ordinary_windows: list[bytes], lexicon: list[tuple[str, i
     uses = [w.encode() for w, n in lexicon for _ in range(max(1, min(n, n * 80_000 // total)))]
     np.random.default_rng(0).shuffle(uses)
     groups = [b" %b " % b" ".join(uses[i : i + 4]) for i in range(0, len(uses), 4)]
-    _, content = _trained(groups, TOXIC_BYTES)
+    _, content = _trained(groups, max(TOXIC_BYTES, sum(2 * (len(w.encode()) + 1) for w, _ in lexicon)))
+    held = set(content.split())
+    left = [w for w, _ in reversed(lexicon) if w.encode() not in held]
+    if left:
+        content = b" %b " % " ".join(left).encode() + content
     return base + (b"\xff\xfe\xfd" * len(content))[: len(content)], base + content
 
 
@@ -209,8 +216,13 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
     )
     n_toxic = sum(r["toxic"] for r in chosen)
     rate, other = F.col("toxic") / n_toxic, F.col("ordinary") / (len(chosen) - n_toxic)
+    # Chernoff's bound on the tail of the binomial distribution, as a logarithm.
+    n, share_toxic = F.col("toxic") + F.col("ordinary"), n_toxic / len(chosen)
+    surprise = F.col("toxic") * F.log(F.col("toxic") / (n * share_toxic)) + F.when(
+        F.col("ordinary") > 0, F.col("ordinary") * F.log(F.col("ordinary") / (n * (1 - share_toxic)))
+    ).otherwise(0.0)
     lexicon = (
-        counted.filter((F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic)) & (rate > LEAST_RATIO * other))
+        counted.filter((rate > LEAST_RATIO * other) & (surprise >= -float(np.log(CHANCE))))
         .orderBy(F.desc("toxic"), "word")
         .limit(LEXICON)
         .collect()

@@ -329,6 +329,33 @@ def test_toxicity(spark, make_docs):
     assert toxicity.query(make_docs([]), table).count() == 0
 
 
+def test_the_toxic_dictionary_holds_the_whole_list(spark, make_docs):
+    rng = random.Random(8)
+    name = lambda a: a + "".join(rng.choice("aeioubdgklmnprstvz") for _ in range(9))
+    calm, foul, rare = [name("c") for _ in range(200)], [name("f") for _ in range(300)], [name("r") for _ in range(40)]
+    rows, labels, planted = [], [], {}
+    for i in range(2400):
+        words = [rng.choice(calm) for _ in range(60)]
+        if i % 4 == 0:
+            k = i // 4
+            planted[i] = [rng.choice(foul) for _ in range(14)] + [rare[k % 40]] * (k < 400)
+            words += planted[i]
+            rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 4 == 0)))
+    learned = {i for i in planted if zlib.crc32(str(i).encode()) % 5}
+    seen = Counter(w for i in learned for w in set(planted[i]))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(make_docs(rows), table)
+    held = set(model.toxic.split())
+    wanted = [w for w in foul + rare if seen[w] >= 9]
+    assert len(wanted) > 280 and sum(w in rare for w in wanted) > 5
+    assert min(seen[w] for w in wanted) < 0.02 * len(learned)
+    assert [w for w in wanted if w.encode() not in held] == []
+    # A word counts, wherever in the dictionary it stands.
+    assert all(toxicity.evidence(b"  %b  " % w.encode(), model.ordinary, model.toxic)[0] >= 2 for w in wanted)
+
+
 def test_windows_cover_the_text():
     text = b"Ab  cd\n" * 200 + b"x" * 600
     found = toxicity.windows(text)
