@@ -29,6 +29,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
+_LOCAL_WORD = re.compile(r"[A-Za-z0-9._%+-]*")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 
 
@@ -103,14 +104,22 @@ NUMBER_WORDS = {w: str(n) for n, w in enumerate("zero one two three four five si
 _NUMBER = "|".join(NUMBER_WORDS)
 _SPELLED = re.compile(rf"(?i)\b(?:(?:plus[ ,-]+)?(?:{_NUMBER}))(?:[ ,-]+(?:{_NUMBER}|dot)|[ ,-]*[0-9]+)*\b")
 _SPELLED_WORD = re.compile(rf"(?i)plus|dot|{_NUMBER}|[0-9]")
-#: A spelled number counts from so many spelled digits.
+#: A spelled number counts from so many spelled digits; fewer count beside other digits.
 SPELLED_DIGITS = 4
+_BESIDE = r"[ ().,-]{0,3}"
+_BEFORE = re.compile(rf"(?i)(?:[0-9]|\b(?:{_NUMBER})){_BESIDE}\Z")
+_BEHIND = re.compile(rf"(?i){_BESIDE}(?:[0-9]|(?:{_NUMBER})\b)")
 _AT = re.compile(r"(?i)\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*")
 _DOT = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*")
-#: Not after "at the dot ...", which is prose.
-_SPOKEN = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-]) at (?!(?:the|an?|this|that) )(?=[A-Za-z0-9-]+ dot [A-Za-z0-9-])")
+#: Not after "at the dot ...", which is prose. So is "at example.com" where no dot is disguised.
+_SPOKEN = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-]) at (?!(?:the|an?|this|that) )(?=[A-Za-z0-9-])")
+_HOST = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\.| dot )[A-Za-z0-9-]++)+")
+_DOTTED_LOCAL = re.compile(r"(?i)[A-Za-z0-9] dot [A-Za-z0-9._%+-]++\Z")
 _SPOKEN_DOT = re.compile(r"(?i)(?<=[A-Za-z0-9-]) dot (?=[A-Za-z0-9-])")
-_TRIGGER = re.compile(rf"(?i)[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]|\bdot\b|\b(?:{_NUMBER})[ ,-]+(?:{_NUMBER})\b")
+_TRIGGER = re.compile(
+    rf"(?i)[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]|\bdot\b|\b(?:{_NUMBER})[ ,-]+(?:{_NUMBER})\b"
+    rf"|[0-9]{_BESIDE}(?:{_NUMBER})\b|\b(?:{_NUMBER}){_BESIDE}[0-9]"
+)
 
 
 @lru_cache(maxsize=65_536)
@@ -167,57 +176,101 @@ def _lookalikes(mapped: Mapped) -> None:
     mapped.rewrite([(i, i + 1, new) for i, c in enumerate(mapped.text) if c > "\x7f" and (new := fold(c)) is not None])
 
 
-def _spelled_digits(mapped: Mapped) -> None:
-    edits = []
+def _spelled_digits(mapped: Mapped, short: bool) -> bool:
+    """Write digits for spelled numbers, for those of few digits only if ``short``; whether there are such."""
+    edits, few = [], False
     for m in _SPELLED.finditer(mapped.text):
         words = list(_SPELLED_WORD.finditer(m[0]))
         if sum(w[0].lower() in NUMBER_WORDS for w in words) < SPELLED_DIGITS:
-            continue
+            beside = (
+                any(w[0].isdigit() for w in words)
+                or _BEFORE.search(mapped.text[max(0, m.start() - 12) : m.start()])
+                or _BEHIND.match(mapped.text, m.end())
+            )
+            few = few or bool(beside)
+            if not (short and beside):
+                continue
         at = m.start()
         for w in words:  # what stands between two digits goes with the second
             new = NUMBER_WORDS.get(w[0].lower()) or {"plus": "+", "dot": "."}.get(w[0].lower(), w[0])
             edits.append((at, m.start() + w.end(), new))
             at = m.start() + w.end()
     mapped.rewrite(edits)
+    return few
+
+
+def _spoken_at(mapped: Mapped, m: re.Match) -> bool:
+    """Whether a host with dots follows, one of them or of the local part disguised."""
+    host = _HOST.match(mapped.text, m.end())
+    if not host:
+        return False
+    dots = (i for i in range(*host.span()) if mapped.text[i] == ".")
+    return (
+        " dot " in host[0].lower()
+        or any(mapped.changed[i] for i in dots)
+        or bool(_DOTTED_LOCAL.search(mapped.text[max(0, m.start() - 64) : m.start()]))
+    )
 
 
 def _signs(mapped: Mapped) -> None:
-    for pattern, new in ((_DOT, "."), (_AT, "@"), (_SPOKEN, "@")):
+    for pattern, new in ((_DOT, "."), (_AT, "@")):
         mapped.rewrite([(*m.span(), new) for m in pattern.finditer(mapped.text)])
+    mapped.rewrite([(*m.span(), "@") for m in _SPOKEN.finditer(mapped.text) if _spoken_at(mapped, m)])
+    text, dots = mapped.text, list(_SPOKEN_DOT.finditer(mapped.text))
+    wanted, next_local = set(), -1
+    for m in reversed(dots):  # before an at, word by word
+        end = _LOCAL_WORD.match(text, m.end(), m.end() + 64).end()
+        if text[end : end + 1] == "@" or end == next_local:
+            wanted.add(m.start())
+            next_local = m.start()
     edits = []
-    for m in _SPOKEN_DOT.finditer(mapped.text):
-        head = _LOCAL_END.search(mapped.text, max(0, m.start() - 64), m.start())
+    for m in dots:
+        head = _LOCAL_END.search(text, max(0, m.start() - 64), m.start())
         before = head.start() if head else m.start()
-        if edits and edits[-1][1] >= before or before > 0 and mapped.text[before - 1] == "@":
+        behind_at = edits and edits[-1][1] >= before or before > 0 and text[before - 1] == "@"
+        if behind_at or m.start() in wanted or text[m.start() - 1].isdigit() and text[m.end()].isdigit():
             edits.append((*m.span(), "."))
     mapped.rewrite(edits)
 
 
-def normalised(text: str) -> Mapped | None:
-    """The rewritten text, or None where no disguise occurs."""
+def normalised(text: str) -> list[Mapped]:
+    """The rewritten texts: none without a disguise, and a second one where spelled numbers of few digits stand beside
+    others, as these may be part of a number or not."""
     odd = not text.isascii() and any(c > "\x7f" and fold(c) is not None for c in set(text))
     if not odd and not _TRIGGER.search(text):
-        return None
-    mapped = Mapped(text)
-    if odd:
-        _lookalikes(mapped)
-    _spelled_digits(mapped)
-    _signs(mapped)
-    return mapped
+        return []
+    found = []
+    for short in (False, True):
+        mapped = Mapped(text)
+        if odd:
+            _lookalikes(mapped)
+        few = _spelled_digits(mapped, short)
+        _signs(mapped)
+        found.append(mapped)
+        if not few:
+            break
+    return found
 
 
 def all_spans(text: str) -> list[tuple[int, int, int, bool]]:
     """(kind, start, end, plain) by kind, then start."""
     plain = plain_spans(text)
     found = {(k, s, e): True for k, s, e in plain}
-    mapped = normalised(text)
-    if mapped is not None:
+    added = set()
+    for mapped in normalised(text):
         for kind, start, end in plain_spans(mapped.text):
             if not any(mapped.changed[start:end]):
                 continue
             first, last = min(mapped.starts[start:end]), max(mapped.ends[start:end])
             if not any(s <= first and last <= e for _, s, e in plain):
-                found.setdefault((kind, first, last), False)
+                added.add((kind, first, last))
+    widest, kept = (-1, -1), []
+    for kind, first, last in sorted(added, key=lambda x: (x[0], x[1], -x[2])):  # of two that are nested, the longer
+        if widest < (kind, last):
+            widest = (kind, last)
+            kept.append((kind, first, last))
+    for span in kept:
+        found.setdefault(span, False)
     return [(*span, base) for span, base in sorted(found.items())]
 
 

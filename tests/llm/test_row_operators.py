@@ -52,6 +52,15 @@ DISGUISED = {
     "at \uff11\uff10.\uff10.0.\uff11!": ("ip", "\uff11\uff10.\uff10.0.\uff11"),
     "call plus four nine three zero one two three four five six": ("phone", "plus four nine three zero one two three four five six"),
     "ten dot: one zero dot zero dot zero dot one": ("ip", "one zero dot zero dot zero dot one"),
+    "host 192 dot 168 dot 1 dot 1 is down": ("ip", "192 dot 168 dot 1 dot 1"),
+    "ask first dot last at example dot com today": ("email", "first dot last at example dot com"),
+    "ask first dot last at example.com today": ("email", "first dot last at example.com"),
+    "ask first dot middle dot last@example.com": ("email", "first dot middle dot last@example.com"),
+    "or john at example [dot] com": ("email", "john at example [dot] com"),
+    "or john at mail.example dot com": ("email", "john at mail.example dot com"),
+    "call +1 555 123 four five six 7": ("phone", "+1 555 123 four five six 7"),
+    "call +1 (five five five) 123 4567": ("phone", "+1 (five five five) 123 4567"),
+    "4111\u200b1111\u200b1111\u200b1111 one of them": ("card", "4111\u200b1111\u200b1111\u200b1111"),
     "4111\u200b1111\u200b1111\u200b1111": ("card", "4111\u200b1111\u200b1111\u200b1111"),
 }
 
@@ -68,6 +77,15 @@ def test_clean_texts_stay_clean(text):
     assert pii.redacted(text) == text
 
 
+@pytest.mark.parametrize("text", ["sold at example.com for 2 dot 5", "take one 5 or 2 two", "see polka dot dress at home.", "300 dot 1 dot 1 dot 1"])
+def test_disguises_without_an_identifier(text):
+    assert pii.all_spans(text) == []
+
+
+def test_redaction_leaves_no_part_of_a_disguise():
+    assert pii.redacted("to first dot last at example dot com now") == "to [EMAIL] now"
+
+
 def test_personal_data_query(make_docs):
     rows = [(i, t) for i, t in enumerate(PLAIN)] + [(99, None), (None, PLAIN[1]), (1, PLAIN[1])]
     for (doc, text), r in zip(rows, pii.query(make_docs(rows)).collect(), strict=True):
