@@ -5,7 +5,7 @@ A line fails if it is
 * shouted: mostly capitals with doubled exclamation marks,
 * navigation: short entries between separators,
 * symbol noise: many of its words carry symbols,
-* stuttered: one word makes up most of its words,
+* stuttered: one word is said ``STUTTERS`` times or more, in a row or as most of its words,
 * boilerplate: a licence, copyright, cookie or script notice,
 * a repeat of an earlier line.
 
@@ -35,6 +35,7 @@ FEWEST_WORDS = 20
 MOST_REPEATED = 30
 MOST_LOST = 50
 UNENDED_WORDS = 60
+STUTTERS = 4
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Phrases of notices that are not part of a text, in lower case.
@@ -56,13 +57,35 @@ def _count(line: Column, pattern: str) -> Column:
     return F.regexp_count(line, F.lit(pattern))
 
 
-def line_fails(line: Column, repetitive: Column) -> Column:
-    """Judge one line that has a word. Plain searches come first; the costly patterns see only lines that need them."""
+def _stuttered(line: Column) -> Column:
+    """Whether a word is said ``STUTTERS`` times or more, in a row or more often than all others together.
+
+    Equal words stand together in sorted order, so a word that makes up most of the words holds the middle place.
+    """
+
+    def judged(words: Column) -> Column:
+        def said(word: Column) -> Column:
+            return F.size(F.filter(words, lambda w: w == word))
+
+        middle = F.get(F.array_sort(words), F.floor(F.size(words) / 2).cast("int"))
+
+        def again(w: Column, i: Column) -> Column:
+            return reduce(lambda a, b: a & b, [F.get(words, i + k).eqNullSafe(w) for k in range(1, STUTTERS)])
+
+        in_a_row = F.exists(F.transform(words, again), lambda x: x)
+        few = F.size(F.array_distinct(words)) <= F.size(words) - (STUTTERS - 1)
+        return few & (in_a_row | _let(_let(middle, said), lambda n: (n >= STUTTERS) & (2 * n > F.size(words))))
+
+    return _let(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), judged)
+
+
+def line_fails(line: Column) -> Column:
+    """Judge one line that has a word. Plain searches come first; the costly tests see only lines that need them."""
     shouted = line.contains("!!") & (100 * _count(line, r"[^\x20\x09-\x0Da-z]*!!") > 40 * _count(line, WORD))
     between = _count(line, rf"(?<!\S)[{SEPARATORS}](?!\S)")
     navigation = _any(line, SEPARATORS) & (between >= 3) & (100 * between > 20 * _count(line, WORD))
     noise = _any(line, DOUBLED) & (100 * _count(line, r"[#*$%&<>]{2,}(?!\S)") > 40 * _count(line, WORD))
-    stuttered = repetitive & line.rlike(r"(?:(?<!\S)(\S+)[\x20\x09-\x0D]+)(?:\1[\x20\x09-\x0D]+){3,}")
+    stuttered = _stuttered(line)
     notice = _any(F.lower(line), NOTICES)
     unended = ~line.rlike(r"[.!?…:;。！？]") & (_count(line, WORD) >= UNENDED_WORDS)
     return shouted | navigation | noise | stuttered | unended | notice
@@ -127,7 +150,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     whole = F.coalesce(F.col(text), F.lit(""))
     words, lines = free_name(docs, "words"), free_name(docs, "lines")
     repeats = free_name(docs, "repeats")
-    good = F.filter(F.array_distinct(F.col(lines)), lambda line: ~line_fails(line, F.col(repeats) > 0))
+    good = F.filter(F.array_distinct(F.col(lines)), lambda line: ~line_fails(line))
     n_words, n_repeat = F.col("n_words"), F.col("n_repeat_words")
     counted = docs.withColumns(
         {

@@ -148,6 +148,19 @@ def test_line_rules(make_docs, prose):
     assert set(make_docs(rows).columns) <= set(judged.columns)
 
 
+@pytest.mark.parametrize("n", [4, 5, 6, 7, 8])
+def test_stutters_fail_without_other_repeats(make_docs, prose, n):
+    clean = "\n".join(f"{prose(i, 12).capitalize()}." for i in range(5))
+    row, share = " ".join(["buy"] * n) + " now.", " ".join(f"so {w}" for w in prose(9, n).split()) + " so so"
+    calm = "It is that it is, and so it was. Very very good, no no no."
+    rows = [(1, f"{clean}\n{row}"), (2, f"{clean}\n{share}"), (3, f"{clean}\n{calm}")]
+    rows += [(4, "\n".join(" ".join([w] * (n + 1)) + "." for w in prose(3, 9).split()))]
+    got = {r.doc_id: r for r in lines.judge(make_docs(rows)).collect()}
+    assert got[1].cleaned == got[2].cleaned == clean and got[3].cleaned == f"{clean}\n{calm}"
+    assert (got[1].n_lost_words, got[2].n_lost_words, got[3].n_lost_words) == (n + 1, 2 * n + 2, 0)
+    assert got[1].kept and got[3].kept and not got[4].kept
+
+
 # --- URLs ------------------------------------------------------------------------------------------------------------
 
 
