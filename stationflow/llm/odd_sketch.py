@@ -11,8 +11,9 @@
    of their estimate; pairs that are connected already are skipped. A spanning forest of the confirmed links leaves the
    task, and the components of these are the result. So no group yields more links than it has members.
 
-Buckets and groups of more than ``BLOCK_CLASSES`` or ``BLOCK_SETS`` members are dealt into blocks, and each task compares
-two blocks; comparisons of a group with itself remain quadratic in its number of different sets, without rows for them.
+Buckets of more than ``BLOCK_CLASSES`` members and groups of more than ``BLOCK_SETS`` members or ``BLOCK_BYTES`` of sets
+are dealt into blocks, and each task compares two blocks; a set of more than half of that has a block of its own.
+Comparisons of a group with itself remain quadratic in its number of different sets, without rows for them.
 
 A link at the threshold misses all bands with probability (1 - s^ROWS)^BANDS: 1e-7 at 0.8 and 7e-11 at 0.85; the margin
 of the estimate adds about 1e-6.
@@ -39,6 +40,8 @@ SKETCH_BITS = 512
 #: A likely link: estimated similarity at most so far below the threshold (about five standard deviations).
 MARGIN = 0.15
 BLOCK_CLASSES, BLOCK_SETS = 10_000, 1_000
+#: Most bytes of the sets of a block, at 8 bytes for each shingle; a task holds two blocks, and some copies of them.
+BLOCK_BYTES = 16 << 20
 #: Most bytes of a group's sets as bitmaps over the shingles of the group.
 _BITMAPS = 32 << 20
 _SLICE = 1 << 20
@@ -184,6 +187,36 @@ def _in_blocks(members: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _placed(members: DataFrame) -> DataFrame:
+    """Add the ``block`` of each member of a group; ``members``: group, size, id, n.
+
+    A hash deals a group into parts of about ``BLOCK_SETS`` members, and each part is cut by the running size of its sets:
+    a block holds ``BLOCK_BYTES`` at most. A set of more than half of that stands alone.
+    """
+    half, size = BLOCK_BYTES // 2, 8 * F.col("n")
+    part = Window.partitionBy("group", "part", "long").orderBy("id")
+    before = F.coalesce(F.sum(size).over(part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    number = F.when(F.col("long"), F.row_number().over(part)).otherwise(F.floor(before / half))
+    return (
+        members.withColumns(
+            {"part": F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK_SETS).cast("bigint")), "long": size > half}
+        )
+        .withColumn("block", F.concat_ws("-", "part", F.col("long").cast("int"), number))
+        .select("group", "id", "n", "block")
+    )
+
+
+def _in_placed_blocks(placed: DataFrame) -> DataFrame:
+    """A member goes to every pair of blocks with its own."""
+    blocks = placed.select("group", "block").distinct().groupBy("group").agg(F.collect_list("block").alias("others"))
+    return (
+        placed.join(blocks, "group")
+        .withColumn("other", F.explode("others"))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .select("group", "id", "low", "high")
+    )
+
+
 def _forest(sketch: np.ndarray, counts: np.ndarray, limit: int, percent: int, confirm=None) -> list[tuple[int, int]]:
     """A spanning forest of the likely links, or of those that ``confirm`` accepts; the most similar come first.
 
@@ -258,7 +291,7 @@ def _confirmer(sets: list[np.ndarray], counts: np.ndarray, percent: int):
 
 
 def _confirmed(members: DataFrame, limit: int, percent: int) -> DataFrame:
-    """a, b: a spanning forest of the links of each candidate group; ``members``: group, size, id, n, sketch, set."""
+    """a, b: a spanning forest of the links of each candidate group; ``members``: group, low, high, id, n, sketch, set."""
     id_type = members.schema["id"].dataType.simpleString()
 
     def forest(table):
@@ -266,8 +299,7 @@ def _confirmed(members: DataFrame, limit: int, percent: int) -> DataFrame:
         sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
         return _pairs(ids, _forest(sketch, counts, limit, percent, _confirmer(sets, counts, percent)))
 
-    dealt = _in_blocks(members, BLOCK_SETS)
-    return dealt.groupBy("group", "low", "high").applyInArrow(forest, f"a {id_type}, b {id_type}").distinct()
+    return members.groupBy("group", "low", "high").applyInArrow(forest, f"a {id_type}, b {id_type}").distinct()
 
 
 def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -290,8 +322,10 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     texts = texts.join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
     sets = _sets(texts, rule).dropDuplicates(["id"])
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    members = groups.join(sizes, "component").join(sketch, "id").join(sets, "id")
-    links = staged(_confirmed(members.withColumnRenamed("component", "group"), limit, rule.percent), "confirmed")
+    sized = groups.join(sizes, "component").withColumnRenamed("component", "group")
+    placed = staged(_placed(sized.join(sketch.select("id", "n"), "id")), "blocks")
+    members = _in_placed_blocks(placed).join(sketch.join(sets, "id"), "id")
+    links = staged(_confirmed(members, limit, rule.percent), "confirmed")
     found = components(links)
 
     rows = docs.select("doc_id").filter("doc_id is null")

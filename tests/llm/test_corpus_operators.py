@@ -117,6 +117,21 @@ def test_large_groups_are_compared_in_blocks(spark, make_docs, prose, monkeypatc
     assert got == linked(rows, odd_sketch.Rule())
 
 
+def test_blocks_of_sets_are_bounded_in_bytes(spark, make_docs, prose, monkeypatch):
+    monkeypatch.setattr(odd_sketch, "BLOCK_BYTES", 4_000)
+    sizes = {i: 20 + i * 37 % 150 for i in range(400)} | {i: 300 + i for i in range(400, 410)}
+    members = spark.createDataFrame([(g, 410, i, n) for g in (1, 2) for i, n in sizes.items()], "group long, size long, id long, n long")
+    blocks = defaultdict(list)
+    for r in odd_sketch._placed(members).collect():
+        blocks[r.group, r.block].append(8 * r.n)
+    assert sum(map(len, blocks.values())) == 820
+    assert all(sum(b) <= 4_000 or len(b) == 1 for b in blocks.values())
+    assert len(blocks) < 820 / 2
+    rows = near_copies(prose, 40)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in odd_sketch.link(make_docs(rows)).collect()}
+    assert got == linked(rows, odd_sketch.Rule())
+
+
 def test_deduplicate_keeps_one_of_each(make_docs, prose):
     rows = [(3, prose(1, 30)), (1, prose(1, 30)), (1, prose(1, 30)), (2, prose(2, 30)), (None, prose(1, 30)), (9, None), (8, "")]
     docs = make_docs(rows)
