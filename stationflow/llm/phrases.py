@@ -10,9 +10,11 @@ windows have equal anchors, and neighbouring windows mostly share one.
    all the rest.)
 3. Documents with recurring anchors give up the regions around these: runs of windows with one anchor. Equal regions
    are merged with the smallest and largest id that has them, from partial aggregates.
-4. Regions are dealt by anchor into shards of bounded size. A shard confirms its recurring windows word by word,
-   compiles them into an Aho-Corasick automaton over word numbers, and streams its regions through it to locate every
-   occurrence, each with the smallest id that has it.
+4. Regions are dealt by anchor into shards. A shard confirms its recurring windows word by word, compiles them into an
+   Aho-Corasick automaton over word numbers, and runs its own regions through it to locate every occurrence, each with
+   the smallest id that has it. An anchor of more than ``LARGE_REGIONS`` regions or ``LARGE_CHARS`` characters of them
+   would make a large shard. Its regions are cut into single windows instead, whose smallest and largest ids come from
+   partial aggregates, so no task holds what one anchor has.
 5. Each document loses the words covered by windows that a smaller id has.
 
 Null and empty texts have no words. Null ids lose nothing and are no one's first occurrence. Repeated rows with one id
@@ -34,7 +36,9 @@ WINDOW = 13
 ANCHOR = 5
 #: Texts sampled for hot anchors (one in so many), how many of them make an anchor hot, and how many are kept.
 HOT_SAMPLE, HOT_TEXTS, HOT = 64, 32, 4_096
+#: Regions of a shard, on average, and most regions and characters of an anchor that goes to one.
 SHARD_REGIONS = 5_000
+LARGE_REGIONS, LARGE_CHARS = 1_000, 200_000
 _SLICE = 1 << 20
 
 
@@ -212,6 +216,23 @@ def _owners(regions: DataFrame, shards: int) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(located, f"anchor bigint, r bigint, owners array<{id_type}>")
 
 
+def _single_windows(regions: DataFrame) -> DataFrame:
+    """at and window of each window of the regions."""
+
+    def cut(texts):
+        import pyarrow as pa
+
+        found = []
+        for text in texts.to_pylist():
+            words = text.split(" ")
+            found.append([" ".join(words[i : i + WINDOW]) for i in range(len(words) - WINDOW + 1)])
+        return pa.array(found, pa.list_(pa.string()))
+
+    return regions.withColumn("cut", F.arrow_udf(cut, "array<string>")("words")).select(
+        "anchor", "r", "low", "high", F.posexplode("cut").alias("at", "window")
+    )
+
+
 def _cleaned(docs: DataFrame) -> DataFrame:
     """Remove windows (places of their first words) from texts; ``docs``: doc_id, n_words, text, places."""
 
@@ -267,9 +288,25 @@ def repeated_phrases(docs: DataFrame) -> DataFrame:
     places = places.withColumn("r", F.xxhash64("words"))
     merged = places.groupBy("anchor", "r", "words").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     merged = staged(merged, "merged")
-    owners = staged(_owners(merged, max(1, -(-merged.count() // SHARD_REGIONS))), "owners")
-
-    earlier = F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
+    n_regions = F.count("*").alias("regions")
+    sizes = merged.groupBy("anchor").agg(n_regions, F.sum(F.length("words")).alias("chars"))
+    large = sizes.filter((F.col("regions") > LARGE_REGIONS) | (F.col("chars") > LARGE_CHARS)).select("anchor")
+    large = staged(large, "large")
+    some = large.limit(1).count() > 0
+    small = merged.join(large, "anchor", "left_anti") if some else merged
+    # Pairs of a window of the region and the smallest id that has it.
+    pair = F.transform("owners", lambda o, i: F.struct(i.alias("at"), o.alias("first")))
+    owners = _owners(small, max(1, -(-merged.count() // SHARD_REGIONS)))
+    owners = owners.select("anchor", "r", F.filter(pair, lambda x: x["first"].isNotNull()).alias("owners"))
+    if some:
+        single = _single_windows(merged.join(large, "anchor", "left_semi"))
+        first = single.groupBy("window").agg(F.min("low").alias("first"), F.max("high").alias("last")).filter("first < last")
+        located = single.join(first, "window").groupBy("anchor", "r")
+        owners = owners.unionByName(located.agg(F.collect_list(F.struct("at", "first")).alias("owners")))
+    owners = staged(owners, "owners")
+
+    earlier = F.filter("owners", lambda x: x["first"] < F.col("doc_id"))
+    earlier = F.transform(earlier, lambda x: F.col("start") + x["at"])
     gone = (
         places.select("doc_id", "t1", "anchor", "r", "start")
         .join(owners, ["anchor", "r"])

@@ -196,6 +196,23 @@ def test_repeated_phrases(make_docs, prose, hot, monkeypatch):
     assert phrases.query(make_docs([])).count() == 0
 
 
+def test_one_anchor_in_many_contexts(make_docs, prose, monkeypatch):
+    common = prose(70, 5)  # five words in 200 contexts, some of which recur
+    rows = [(i, f"{prose(100 + i % 120, 12)} {common} {prose(400 + i % 90, 12)} {common}") for i in range(200)]
+    rows += [(300 + i, f"{prose(100 + i, 12)} {common} {prose(600 + i, 3)} {'again ' * 20}") for i in range(20)]
+    widest, locate = [], phrases._owners
+
+    def seen(regions, shards):
+        widest.append(max((r["count"] for r in regions.groupBy("anchor").count().collect()), default=0))
+        return locate(regions, shards)
+
+    monkeypatch.setattr(phrases, "LARGE_REGIONS", 10, raising=False)
+    monkeypatch.setattr(phrases, "_owners", seen)
+    got = phrases.repeated_phrases(make_docs(rows)).collect()
+    assert Counter(tuple(r) for r in got) == without_repeats(rows)
+    assert widest[0] <= 10
+
+
 def test_phrases_on_given_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
