@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, lines, mixing, odd_sketch, oracle, packing, phrases, pii, toxicity, url_tree, wavelet
+from . import (
+    ann,
+    divergence,
+    importance,
+    lines,
+    mixing,
+    odd_sketch,
+    oracle,
+    overlap_join,
+    packing,
+    phrases,
+    pii,
+    toxicity,
+    url_tree,
+    wavelet,
+)
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +67,18 @@ def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(read(spark, sf_dir, "documents"))
 
 
+def op11_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.query(read(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.query(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.query(read(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     found = [
         op1_rotated_codes,
@@ -64,10 +91,19 @@ def llm_queries() -> dict[str, Query]:
         op8_path_templates,
         op9_repeated_phrases,
         op10_deobfuscated_pii,
+        op11_overlap_join,
+        op12_importance_resampling,
+        op13_source_divergence,
     ]
     return {f.__name__: f for f in found}
 
 
 def llm_sql() -> dict[str, str]:
     """SQL for the queries that it can state; tests hold the others against brute force."""
-    return {op6_odd_sketch_duplicates.__name__: oracle.DUPLICATES, op9_repeated_phrases.__name__: oracle.PHRASES}
+    return {
+        op6_odd_sketch_duplicates.__name__: oracle.DUPLICATES,
+        op9_repeated_phrases.__name__: oracle.PHRASES,
+        op11_overlap_join.__name__: oracle.OVERLAPS,
+        op12_importance_resampling.__name__: oracle.RESAMPLING,
+        op13_source_divergence.__name__: oracle.DIVERGENCE,
+    }
