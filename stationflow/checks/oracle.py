@@ -21,7 +21,7 @@ from ..schemas import (
     TEMPERATURES,
     WEATHER,
 )
-from .queries import NAIVE, NAIVE_MODELS, SCALED, SEQUENCE_FEATURES, SEQUENCE_TARGET
+from .queries import NAIVE, NAIVE_MODELS, SEQUENCE_TARGET
 
 READING_COLUMNS = [c for c in RAW_COLUMNS if c not in ("code", "id")]
 SHORT = {p: p.replace("pm2_5", "pm25") for p in POLLUTANTS}
@@ -257,19 +257,37 @@ def _metric_rows(name: str, pairs: dict[str, tuple[str, str]]) -> str:
     )
 
 
+#: The numeric columns of the model inputs, and the encoded ones.
+NUMERIC = [c for c in ML_COLUMNS if c not in ("date", "station_name", "city", "season", *TARGETS)]
+FLAGS = {
+    **{f"city_{c}": f"CASE WHEN city = '{c}' THEN 1.0 ELSE 0.0 END" for c in CITY_LEVELS},
+    **{f"season_{s}": f"CASE WHEN season = '{s}' THEN 1.0 ELSE 0.0 END" for s in SEASON_LEVELS},
+}
+
+
+def f32(expression: str) -> str:
+    """As a float32, which all model inputs are, in a double."""
+    return f"CAST(CAST({expression} AS FLOAT) AS DOUBLE)"
+
+
+CTES["labelled"] = f"SELECT * FROM features_raw WHERE {' AND '.join(f'{t} IS NOT NULL' for t in TARGETS)}"
+CTES["prepared"] = f"""
+    SELECT station_name, date, {aliased({c: f32(f"coalesce(f.{c}, m.{c})") for c in NUMERIC})},
+           {aliased({c: f32(e) for c, e in {**FLAGS, **{t: t for t in TARGETS}}.items()})}
+    FROM labelled AS f, (SELECT {listed(f'median({c}) AS {c}' for c in NUMERIC)} FROM labelled) AS m"""
+PREPARED = [*NUMERIC, *FLAGS, *TARGETS]
+
+STUDIED = [*NUMERIC, *FLAGS]
+CTES["studied"] = f"""
+    SELECT station_name, date, {aliased({c: f32(FLAGS.get(c, c)) for c in [*STUDIED, SEQUENCE_TARGET]})} FROM features
+    WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*NUMERIC, SEQUENCE_TARGET])}"""
+for _name in ("numbered", "starts", "trained", "train_rows"):
+    # The same steps over the rows of the sequence study.
+    CTES[f"study_{_name}"] = re.sub(r"\b(numbered|starts|trained)\b", r"study_\1", CTES[_name]).replace("targeted", "studied")
+
+
 def _matrix() -> str:
-    numeric = [c for c in ML_COLUMNS if c not in ("date", "station_name", "city", "season", *TARGETS)]
-    f32 = "CAST(CAST({0} AS FLOAT) AS DOUBLE)"
-    flags = [f"CASE WHEN f.city = '{c}' THEN 1.0 ELSE 0.0 END AS city_{c}" for c in CITY_LEVELS]
-    flags += [f"CASE WHEN f.season = '{s}' THEN 1.0 ELSE 0.0 END AS season_{s}" for s in SEASON_LEVELS]
-    flags = [f"CAST({flag.replace(' AS ', ' AS DOUBLE) AS ', 1)}" for flag in flags]
-    columns = [f"{r6(f32.format(f'coalesce(f.{c}, m.{c})'), 4)} AS {c}" for c in numeric]
-    columns += [f"{r6(f32.format(f'f.{t}'), 4)} AS {t}" for t in TARGETS]
-    labelled = f"SELECT * FROM features_raw WHERE {' AND '.join(f'{t} IS NOT NULL' for t in TARGETS)}"
-    return f"""
-        SELECT f.station_name, f.date, {listed(columns + flags)}
-        FROM ({labelled}) AS f,
-             (SELECT {listed(f'median({c}) AS {c}' for c in numeric)} FROM ({labelled}) AS l) AS m"""
+    return f"SELECT station_name, date, {listed(f'{r6(c, 4)} AS {c}' for c in PREPARED)} FROM prepared"
 
 
 def _snapshot() -> str:
@@ -320,17 +338,25 @@ def _radar(table: str = "long", names=CITY_LEVELS) -> str:
     return f"SELECT CASE measure {label} END AS pollutant, {cities} FROM {table} GROUP BY measure"
 
 
-def _sequences() -> str:
-    w = "(PARTITION BY station_name ORDER BY date ROWS BETWEEN CURRENT ROW AND 23 FOLLOWING)"
-    total = " + ".join(f"sum({c}) OVER {w}" for c in SEQUENCE_FEATURES)
-    first, last = SEQUENCE_FEATURES[0], SEQUENCE_FEATURES[-1]
+def _sequences(split: str) -> str:
+    """Every sequence's cells, scaled by the training rows, each times the weight of its place (row by row)."""
+    numbers, width = [*STUDIED, SEQUENCE_TARGET], len(STUDIED)
+    stats = listed(f"avg({c}) AS {c}_m, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS {c}_s" for c in numbers)
+    scaled = aliased({c: f32(f"({c} - {c}_m) / {c}_s") for c in numbers})
+    cells = listed(f"({j}, {c})" for j, c in enumerate(STUDIED))
     return f"""
-        SELECT station_name, date, CAST(length AS INTEGER) AS length, {r6('first_value')} AS first_value,
-               {r6('last_value')} AS last_value, {r6('total')} AS total, {r6('target')} AS {SEQUENCE_TARGET}
-        FROM (SELECT station_name, date, count(*) OVER {w} AS length, {first} AS first_value,
-                     last_value({last}) OVER {w} AS last_value, {total} AS total,
-                     last_value({SEQUENCE_TARGET}) OVER {w} AS target FROM targeted) AS spans
-        WHERE length = 24"""
+        , stats AS (SELECT {stats} FROM study_train_rows),
+        scaled AS (SELECT station_name, row_number, {scaled} FROM study_numbered, stats),
+        cell AS (SELECT station_name, row_number, j, x FROM scaled, LATERAL (VALUES {cells}) AS c(j, x)),
+        digest AS (
+            SELECT s.station_name, s.row_number, count(*) AS cells,
+                   sum(x * (((c.row_number - s.row_number) * {width} + j + 1) * 7919 % 1009) / 1009.0::DOUBLE) AS digest
+            FROM study_starts AS s JOIN cell AS c
+            ON c.station_name = s.station_name AND c.row_number BETWEEN s.row_number AND s.row_number + 23 GROUP BY 1, 2)
+        SELECT s.station_name, s.date, position, {split} AS split, CAST(cells AS INTEGER) AS cells,
+               {r6('digest', 3)} AS digest, {r6(f't.{SEQUENCE_TARGET}', 3)} AS target
+        FROM study_starts AS s JOIN digest AS d ON d.station_name = s.station_name AND d.row_number = s.row_number
+        JOIN scaled AS t ON t.station_name = s.station_name AND t.row_number = s.row_number + 23"""
 
 
 def _window_dense() -> str:
@@ -340,10 +366,10 @@ def _window_dense() -> str:
 
 def _scaled(inverse: bool) -> str:
     if inverse:
-        return f"SELECT station_name, date, {_rounded(SCALED)} FROM cleaned"
-    stats = listed(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in SCALED)
-    scaled = listed(f"{r6(f'({c} - {c}_m) / CASE WHEN {c}_s = 0 THEN 1.0 ELSE {c}_s END')} AS {c}" for c in SCALED)
-    return f"SELECT station_name, date, {scaled} FROM cleaned, (SELECT {stats} FROM cleaned) AS s"
+        return _matrix()
+    stats = listed(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in PREPARED)
+    scaled = listed(f"{r6(f'({c} - {c}_m) / CASE WHEN {c}_s = 0 THEN 1.0 ELSE {c}_s END', 4)} AS {c}" for c in PREPARED)
+    return f"SELECT station_name, date, {scaled} FROM prepared, (SELECT {stats} FROM prepared) AS s"
 
 
 def all_sql() -> dict[str, str]:
@@ -453,7 +479,7 @@ def all_sql() -> dict[str, str]:
         "finite_check": """
             SELECT bool_and(coalesce(isfinite(temp), false)) AS temp, bool_and(coalesce(isfinite(x), false)) AS x
             FROM special""",
-        "scaler_fit": _fit(SCALED, "cleaned"),
+        "scaler_fit": _fit(PREPARED, "prepared"),
         "standard_scale": _scaled(False),
         "inverse_scale": _scaled(True),
         "hash_split": f"""
@@ -461,10 +487,10 @@ def all_sql() -> dict[str, str]:
                    THEN 'validation' ELSE 'train' END AS split FROM readings""",
         "snapshot_features": _snapshot(),
         "sequence_starts": "SELECT station_name, date, row_number, station_rows FROM starts",
-        "sequences": _sequences(),
+        "sequences": _sequences(split),
         "ordered_split": f"SELECT station_name, date, row_number, station_rows, position, {split} AS split FROM starts",
         "train_rows": "SELECT station_name, date FROM train_rows",
-        "scaler_fit_train": _fit([*SEQUENCE_FEATURES, SEQUENCE_TARGET], "train_rows"),
+        "scaler_fit_train": _fit([*STUDIED, SEQUENCE_TARGET], "study_train_rows"),
         "regression_metrics": _metric_rows("target", NAIVE),
         "model_comparison": _metric_rows("model", {m: (SEQUENCE_TARGET, p) for m, p in NAIVE_MODELS.items()}),
     }

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions import aqi_alert, aqi_description, aqi_label, aqi_level_by_key
 from ..operators import clean, features, matrix, medians, metrics, sequences, summary
+from ..operators.scalars import evaluated
 from ..operators.snapshot import snapshot_features
-from ..plans import batch_predict, build_ml_dataset, load_sources, train_all
+from ..plans import batch_predict, build_ml_dataset, load_sources, sequence_study, train_all, write_study
 from ..plans.ml_dataset import ml_features
+from ..plans.sequence_study import cell_digest
 from ..schemas import IMPUTED, POLLUTANTS, ROLLING, TARGETS
 from ..sources import read_dataset, shared_dir, staged, write_csv, write_parquet
 from . import views
@@ -24,8 +26,6 @@ from . import views
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEYS = ["station_name", "date"]
-SCALED = [*POLLUTANTS, "temp", "relative_humidity"]
-SEQUENCE_FEATURES = ["pm10", "no2", "o3"]
 SEQUENCE_TARGET = "o3_next_24h_max"
 NAIVE = {
     "pm10": ("pm10_next_24h_mean", "pm10_roll_24h_mean"),
@@ -377,22 +377,29 @@ def finite_check(spark, sf_dir):
     return matrix.finite_check(_with_special_values(views.readings(spark, sf_dir)), ["temp", "x"])
 
 
+def _prepared(spark, sf_dir):
+    """All model inputs and targets, and their names."""
+    table = staged(ml_features(views.readings(spark, sf_dir)), "ml_features")
+    frame, columns = matrix.prepare_features(table, keep=KEYS)
+    return staged(frame, "prepared"), [*columns, *TARGETS]
+
+
 @_query
 def scaler_fit(spark, sf_dir):
-    return rounded(matrix.scaler_fit(cleaned(spark, sf_dir), SCALED))
+    return rounded(matrix.scaler_fit(*_prepared(spark, sf_dir)))
 
 
 @_query
 def standard_scale(spark, sf_dir):
-    table = cleaned(spark, sf_dir).select(*KEYS, *SCALED)
-    return rounded(matrix.standard_scale(table, matrix.scaler_fit(table, SCALED), SCALED))
+    table, columns = _prepared(spark, sf_dir)
+    return rounded(matrix.standard_scale(table, matrix.scaler_fit(table, columns), columns), 4)
 
 
 @_query
 def inverse_scale(spark, sf_dir):
-    table = cleaned(spark, sf_dir).select(*KEYS, *SCALED)
-    stats = matrix.scaler_fit(table, SCALED)
-    return rounded(matrix.inverse_scale(matrix.standard_scale(table, stats, SCALED), stats, SCALED))
+    table, columns = _prepared(spark, sf_dir)
+    stats = evaluated(matrix.scaler_fit(table, columns))
+    return rounded(matrix.inverse_scale(matrix.standard_scale(table, stats, columns), stats, columns), 4)
 
 
 @_query
@@ -413,19 +420,24 @@ def sequence_starts(spark, sf_dir):
     return sequences.sequence_starts(with_targets(spark, sf_dir)).select(*KEYS, "row_number", "station_rows")
 
 
+def _study(spark, sf_dir):
+    return sequence_study(staged(ml_features(staged(cleaned(spark, sf_dir), "cleaned")), "ml_features"), SEQUENCE_TARGET)
+
+
 @_query
 def sequences_24(spark, sf_dir):
-    table = sequences.sequences(with_targets(spark, sf_dir), SEQUENCE_FEATURES, SEQUENCE_TARGET)
-    total = F.aggregate(F.flatten("sequence"), F.lit(0.0), lambda a, v: a + v)
+    """Every sequence of all scaled features, from the stored chunks; its cells as a digest of all of them."""
+    study = write_study(_study(spark, sf_dir), shared_dir(spark, "study"))
     return rounded(
-        table.select(
+        study.sequences().select(
             *KEYS,
-            F.size("sequence").alias("length"),
-            F.col("sequence")[0][0].alias("first_value"),
-            F.col("sequence")[23][2].alias("last_value"),
-            total.alias("total"),
-            SEQUENCE_TARGET,
-        )
+            "position",
+            "split",
+            F.size("sequence").alias("cells"),
+            cell_digest().alias("digest"),
+            F.col("target").cast("double").alias("target"),
+        ),
+        3,
     )
 
 
@@ -443,8 +455,7 @@ def train_rows(spark, sf_dir):
 
 @_query
 def scaler_fit_train(spark, sf_dir):
-    rows = sequences.train_rows(with_targets(spark, sf_dir))
-    return rounded(matrix.scaler_fit(rows, [*SEQUENCE_FEATURES, SEQUENCE_TARGET]))
+    return rounded(_study(spark, sf_dir).stats)
 
 
 # --- Models ---

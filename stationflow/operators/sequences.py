@@ -75,6 +75,22 @@ def _station_positions(df: DataFrame, length: int, train: float, validation: flo
     )
 
 
+def numbered_rows(
+    df: DataFrame,
+    length: int = LENGTH,
+    train: float = 0.70,
+    validation: float = 0.85,
+    order: Sequence[str] = ("date",),
+    rows_per_block: int | None = ROWS_PER_BLOCK,
+) -> DataFrame:
+    """All rows with ``row_number`` and ``station_rows``, and per station ``starts`` (how many sequences start in it),
+    ``starts_before`` (in the stations before it), ``train_end`` and ``validation_end`` (last positions of the parts)."""
+    return running_total(
+        df, STATION, order, running="row_number", total="station_rows", rows_per_block=rows_per_block,
+        per_group=_station_positions(df, length, train, validation, rows_per_block),
+    )
+
+
 def ordered_split(
     df: DataFrame,
     length: int = LENGTH,
@@ -87,10 +103,7 @@ def ordered_split(
 
     ``train`` and ``validation`` are the shares of starts that end each part; the rest is the test part.
     """
-    ranked = running_total(
-        df, STATION, order, running="row_number", total="station_rows", rows_per_block=rows_per_block,
-        per_group=_station_positions(df, length, train, validation, rows_per_block),
-    )
+    ranked = numbered_rows(df, length, train, validation, order, rows_per_block)
     position = F.col("starts_before") + F.col("row_number")
     return (
         ranked.filter(F.col("row_number") <= F.col("starts"))

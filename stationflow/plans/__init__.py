@@ -3,9 +3,10 @@
 from .etl import load_and_unify, load_sources
 from .ml_dataset import build_ml_dataset, write_ml_dataset
 from .prediction import batch_predict
-from .training import load_model, save_model, train_all, train_target
+from .sequence_study import SequenceStudy, read_study, sequence_study, write_study
+from .training import Models, load_model, save_model, train_all, train_target
 
 __all__ = [
-    "batch_predict", "build_ml_dataset", "load_and_unify", "load_model", "load_sources", "save_model", "train_all",
-    "train_target", "write_ml_dataset",
+    "Models", "SequenceStudy", "batch_predict", "build_ml_dataset", "load_and_unify", "load_model", "load_sources",
+    "read_study", "save_model", "sequence_study", "train_all", "train_target", "write_ml_dataset", "write_study",
 ]

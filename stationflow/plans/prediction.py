@@ -4,45 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import aqi_alert, aqi_level
-from ..operators.matrix import inverse_scale, standard_scale, with_known
-from ..operators.snapshot import snapshot_features
-from ..schemas import CITY_LEVELS, SEASON_LEVELS, TARGET_NAMES, TARGETS
+from ..operators.matrix import inverse_scale
+from ..operators.snapshot import snapshot_inputs
+from ..schemas import TARGET_NAMES, TARGETS
+from .training import Models
 
 
-def trained_levels(models: dict[str, PipelineModel]) -> tuple[list[str], list[str]]:
-    """City and season levels among the input columns of the models, the known ones first."""
-    inputs = dict.fromkeys(c for m in models.values() for c in m.stages[0].getInputCols())
-    cities, seasons = ([c.removeprefix(p) for c in inputs if c.startswith(p)] for p in ("city_", "season_"))
-    return with_known(CITY_LEVELS, cities), with_known(SEASON_LEVELS, seasons)
+def predictions(snapshots: DataFrame, models: Models, keep: Sequence[str] = (), targets: Sequence[str] = TARGETS) -> DataFrame:
+    """``keep`` columns and a prediction per target, by the stored preparation, regressors and target scales.
+
+    A target without a model has null predictions, so the columns do not depend on what was trained.
+    """
+    names = {target: f"{TARGET_NAMES[target]}_prediction" for target in targets}
+    scored = snapshot_inputs(snapshots, tuple(keep))
+    if models:
+        scored = models.preparation.transform(scored)
+    for model in models.values():
+        scored = model.transform(scored)
+    scored = scored.withColumns({p: F.lit(None).cast("double") for t, p in names.items() if t not in models})
+    return scored.select(*keep, *names.values())
 
 
 def batch_predict(
     snapshots: DataFrame,
-    models: dict[str, PipelineModel],
+    models: Models,
     keep: tuple[str, ...] = (),
-    scaler: tuple[DataFrame, list[str]] | None = None,
     target_scaler: DataFrame | None = None,
     targets: Sequence[str] = TARGETS,
 ) -> DataFrame:
     """``keep`` columns, the three predictions, and the health band and alert flag of each.
 
-    ``scaler`` (statistics and their columns) is for models trained on scaled features, ``target_scaler`` for models
-    trained on scaled targets; trees need neither. Categories have the levels that the models were trained on. A target
-    without a model has null predictions, so the columns do not depend on what was trained.
+    Levels, medians and scales are those stored with the models. ``target_scaler`` (one row of statistics) is for regressors
+    whose output is still scaled.
     """
-    scored = snapshot_features(snapshots, keep, *trained_levels(models))
-    if scaler:
-        scored = standard_scale(scored, *scaler)
     names = {target: f"{TARGET_NAMES[target]}_prediction" for target in targets}
-    for model in models.values():
-        scored = model.transform(scored).drop("features")
-    scored = scored.withColumns({p: F.lit(None).cast("double") for t, p in names.items() if t not in models})
-    scored = scored.select(*keep, *names.values())
+    scored = predictions(snapshots, models, keep, targets)
     if target_scaler:
         back = inverse_scale(scored.withColumnsRenamed({p: t for t, p in names.items()}), target_scaler, list(names))
         scored = back.withColumnsRenamed(names)

@@ -6,6 +6,8 @@ import pytest
 from compare import compare, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
+from stationflow.checks.oracle import all_sql
+from stationflow.checks.queries import all_queries
 
 SF_DIR = os.getenv("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -21,7 +23,8 @@ def test_query_matches_sql(spark, connection, name):
 
 
 def test_only_model_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == {"gbt_metrics", "batch_predict"}
+    assert set(all_queries()) - set(all_sql()) == {"gbt_metrics", "batch_predict"}
+    assert set(all_sql()) <= set(all_queries()) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
 
 
