@@ -47,13 +47,13 @@ from .words import mix, run_hashes, word_hashes
 LONG_LISTS, LONG_IN_TASK, LONG_SHARE = 200_000, 8, 1 / 2000
 #: Bytes of text hashed at once, and bytes of text whose lists are counted or packed together.
 SLICE, TOGETHER = 1 << 20, 8 << 20
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 10 << 20
 GROUP_BYTES, PIVOTS = 8 << 20, 8
 #: Weight of the search in long lists against merging.
 MU = 0.5
 #: Elements of short lists merged by a heap; more are counted in one pass over an array, with the same result.
 HEAP = 4096
-#: Hashes move without their last two bytes: lists may then hold a chance member, which the search finds out.
+#: Bytes of a hash that move: lists may then hold a chance member, which the search finds out.
 _MOVED = 6
 _LONG = 1 << 40
 
@@ -159,7 +159,7 @@ def long_lists(signed: DataFrame, sets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _packed(docs: DataFrame, rule: Rule, long: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
-    """bucket; heads (key, size and number of shingles here of each set) and the shingles; what is known of long lists."""
+    """bucket; nodes (keys of sets), counts (size, shingles here) and the shingles; what is known of long lists."""
     value, length = docs.sparkSession.sparkContext.broadcast(long[0]), docs.sparkSession.sparkContext.broadcast(long[1])
 
     def packed(batches):
@@ -178,23 +178,25 @@ def _packed(docs: DataFrame, rule: Rule, long: tuple[np.ndarray, np.ndarray], bu
             # A long list stands behind all others in order of length; its place is its vertex.
             at_long = place[is_long]
             known = np.column_stack([node[of[is_long]], sizes[of[is_long]], _LONG + length.value[at_long], at_long])
-            flat, of = flat[~is_long], of[~is_long]
-            bucket = (mix(flat) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((of, bucket))
-            flat, of, bucket = flat[order], of[order], bucket[order]
-            at = np.searchsorted(bucket, np.arange(buckets + 1))
+            flat, of = flat[~is_long], of[~is_long].astype(np.int32)
+            bucket = (mix(flat) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            flat, of = flat[order], of[order]
+            at = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
             known_bucket = known[:, 0] % buckets
             rows = []
-            for b in np.union1d(np.unique(bucket), np.unique(known_bucket)).tolist():
+            for b in np.union1d(np.flatnonzero(np.diff(at)), known_bucket).tolist():
                 here, own = flat[at[b] : at[b + 1]], of[at[b] : at[b + 1]]
                 some, times = np.unique(own, return_counts=True)
-                heads = np.column_stack([node[some], sizes[some], times])
-                moved = here.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :_MOVED]
-                rows.append((b, heads.tobytes(), moved.tobytes(), known[known_bucket == b].tobytes()))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *[pa.binary()] * 3], strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "heads", "shingles", "known"])
+                counts = np.column_stack([sizes[some], times]).astype(np.int32)
+                moved = here.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _MOVED :]
+                rows.append((b, node[some].tobytes(), counts.tobytes(), moved.tobytes(), known[known_bucket == b].tobytes()))
+            types = [pa.int32(), *[pa.binary()] * 4]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "nodes", "counts", "shingles", "known"])
 
-    return docs.select("text").mapInArrow(packed, "bucket int, heads binary, shingles binary, known binary")
+    schema = "bucket int, nodes binary, counts binary, shingles binary, known binary"
+    return docs.select("text").mapInArrow(packed, schema)
 
 
 def _summed(rows: np.ndarray) -> np.ndarray:
@@ -212,33 +214,37 @@ def occurrences(packed: DataFrame) -> DataFrame:
     def of_lists(table):
         import pyarrow as pa
 
-        heads, flat, known = (
-            np.frombuffer(b"".join(table.column(c).to_pylist()), t).reshape(-1, w)
-            for c, t, w in (("heads", np.int64, 3), ("shingles", np.uint8, _MOVED), ("known", np.int64, 4))
-        )
-        value = np.zeros((len(flat), 8), np.uint8)
-        value[:, 8 - _MOVED :] = flat
+        def joined(column, kind, width):
+            return np.frombuffer(b"".join(table.column(column).to_pylist()), kind).reshape(-1, width)
+
+        node, counts, known = joined("nodes", np.int64, 1)[:, 0], joined("counts", np.int32, 2), joined("known", np.int64, 4)
+        value = np.zeros((int(counts[:, 1].sum()), 8), np.uint8)
+        value[:, 8 - _MOVED :] = joined("shingles", np.uint8, _MOVED)
         value = value.view(">u8")[:, 0].astype(np.uint64)
-        owner = np.repeat(heads[:, 0], heads[:, 2])
-        about = np.repeat(np.arange(len(heads)), heads[:, 2])
-        order = np.lexsort((owner, value))
-        value, owner, about = value[order], owner[order], about[order]
+        about = np.repeat(np.arange(len(node), dtype=np.int32), counts[:, 1])
+        once = np.zeros(len(node), bool)  # of sets that were packed apart, one
+        once[np.unique(node, return_index=True)[1]] = True
+        if not once.all():
+            kept = once[about]
+            value, about = value[kept], about[kept]
+        order = np.argsort(value, kind="stable")
+        value, about = value[order], about[order]
         new_list = np.ones(len(value), bool)
         new_list[1:] = value[1:] != value[:-1]
-        new = new_list.copy()  # copies of a set that were packed apart
-        new[1:] |= owner[1:] != owner[:-1]
-        value, owner, about, new_list = value[new], owner[new], about[new], new_list[new]
+        single = new_list & np.append(new_list[1:], True)
+        about, new_list = about[~single], new_list[~single]
         starts = np.flatnonzero(new_list)
-        lengths = np.diff(np.append(starts, len(value)))
-        several = np.repeat(lengths > 1, lengths)
-        rows = np.column_stack([owner, heads[about, 1], np.repeat(lengths, lengths), np.repeat(owner[starts], lengths)])[several]
+        owner, lengths = node[about], np.diff(np.append(starts, len(about)))
+        least = np.minimum.reduceat(owner, starts) if len(starts) else owner
+        rows = np.column_stack([owner, counts[about, 0], np.repeat(lengths, lengths), np.repeat(least, lengths)])
         copies = known[np.lexsort(known.T[::-1])] if len(known) else known
         different = np.concatenate([[True], (copies[1:] != copies[:-1]).any(1)]) if len(copies) else np.zeros(0, bool)
         out = np.concatenate([_summed(rows), _summed(copies[different])])
         names = ["node", "n", "length", "vertex", "shingles"]
-        return pa.table([pa.array(np.ascontiguousarray(out[:, i])) for i in range(5)], names=names)
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+        return pa.table([pa.array(np.ascontiguousarray(out[:, i]), t) for i, t in enumerate(types)], names=names)
 
-    schema = "node bigint, n bigint, length bigint, vertex bigint, shingles bigint"
+    schema = "node bigint, n int, length bigint, vertex bigint, shingles int"
     return packed.groupBy("bucket").applyInArrow(of_lists, schema)
 
 
@@ -455,9 +461,10 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     of_class = has.join(classes.drop("n"), ["k1", "k2"])
     own = of_class.join(twice, "doc_id", "left_semi").filter("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))
     connected = components(links.unionByName(own)).withColumnRenamed("id", "low")
+    low = F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id"))
     return (
         signed.join(classes.drop("n"), ["k1", "k2"], "left")
-        .withColumn("low", F.coalesce("low", "doc_id"))
+        .withColumn("low", low)
         .join(connected, "low", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "low").alias("component_id"))
     )
