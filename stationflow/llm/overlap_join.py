@@ -49,6 +49,8 @@ LONG_LISTS, LONG_IN_TASK, LONG_SHARE = 200_000, 8, 1 / 2000
 SLICE, TOGETHER = 1 << 20, 8 << 20
 BUCKET_BYTES = 10 << 20
 GROUP_BYTES, PIVOTS = 8 << 20, 8
+#: Bits of the filter in front of the join that fetches the candidates' texts.
+FILTER_BITS = 1 << 24
 #: Weight of the search in long lists against merging.
 MU = 0.5
 #: Elements of short lists merged by a heap; more are counted in one pass over an array, with the same result.
@@ -401,6 +403,23 @@ def _searched(members: DataFrame, rule: Rule, keys: list[str]) -> DataFrame:
 # --- the join --------------------------------------------------------------------------------------------------------
 
 
+def _likely_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """low and text of all documents that ``rows`` names in ``low``, and of a few others: what is worth moving.
+
+    A bitmap over hashes of the wanted ids, in words of 64 bits, is broadcast: ``FILTER_BITS`` bits, so at most
+    ``FILTER_BITS`` / 64 rows, at any size of the corpus. Where it is nearly full it lets nearly all pass.
+    """
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("low"), "text").filter("low is not null")
+
+    def placed(df: DataFrame) -> DataFrame:
+        slot = F.pmod(F.xxhash64("low"), F.lit(FILTER_BITS))
+        bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+        return df.withColumn("slot", slot).withColumns({"word": F.shiftright("slot", 6), "bit": bit})
+
+    bits = placed(rows.select("low")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return placed(texts).join(F.broadcast(bits), "word").filter("bits & bit <> 0").select("low", "text")
+
+
 def _links(docs: DataFrame, classes: DataFrame, edges: DataFrame, rule: Rule) -> DataFrame:
     """a, b (doc_ids of classes): links that connect all linked classes."""
     grouped = components(edges).withColumnRenamed("component", "group")
@@ -419,8 +438,7 @@ def _links(docs: DataFrame, classes: DataFrame, edges: DataFrame, rule: Rule) ->
     asked = dealt.select(*columns, "part").unionByName(everywhere.select(*columns, F.col("other").alias("part")))
 
     def with_text(rows: DataFrame) -> DataFrame:
-        texts = docs.select(F.col("doc_id").cast("bigint").alias("low"), "text").filter("low is not null")
-        return rows.join(texts, "low")
+        return rows.join(_likely_texts(docs, rows), "low")
 
     links = staged(_searched(with_text(asked), rule, ["group", "part"]), "links")
     large = dealt.filter("parts > 1")
