@@ -19,6 +19,9 @@ at least T = ceil(percent * n / 100) of its inverted lists, and every one of the
    members of the component. That connects the usual large group, many versions of one text, in linear work. Only if it
    leaves several pieces, pairs of parts are searched as well, so no link is lost.
 
+A bucket also names each set that has shingles in it (16 bytes), so what moves grows from 6 bytes a shingle towards 22
+where the corpus needs more buckets than a set has shingles.
+
 Nothing is capped: frequent shingles beyond ``LONG_LISTS`` are ordinary lists, which changes the plan but not the result.
 Lists that are no long lists have at most about 0.2 % of all sets as members, as frequent ones are seen within tasks.
 
@@ -47,7 +50,8 @@ from .words import mix, run_hashes, word_hashes
 LONG_LISTS, LONG_IN_TASK, LONG_SHARE = 200_000, 8, 1 / 2000
 #: Bytes of text hashed at once, and bytes of text whose lists are counted or packed together.
 SLICE, TOGETHER = 1 << 20, 8 << 20
-BUCKET_BYTES = 10 << 20
+#: Most bytes of moved hashes in a bucket, and least buckets, so that the lists spread over a cluster.
+BUCKET_BYTES, MIN_BUCKETS = 10 << 20, 64
 GROUP_BYTES, PIVOTS = 8 << 20, 8
 #: Bits of the filter in front of the join that fetches the candidates' texts.
 FILTER_BITS = 1 << 24
@@ -468,7 +472,7 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     has = signed.filter("n > 0 and doc_id is not null")
     classes = staged(has.groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.first("n").alias("n")), "classes")
     sets, shingles = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    buckets = max(1, -(-_MOVED * shingles // BUCKET_BYTES))
+    buckets = max(MIN_BUCKETS, -(-_MOVED * shingles // BUCKET_BYTES))
     long = long_lists(all_rows, sets)
     texts = slim.filter("doc_id is not null")
     found = occurrences(_packed(texts, rule, long, buckets))
