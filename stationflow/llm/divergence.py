@@ -110,7 +110,7 @@ def sort_pointers(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tu
             filled += len(part)
             continue
         key = _keys(chunks, starts[part], sizes[part], depth)
-        sample = key[:: len(key) // 255]
+        sample = key[:: max(1, len(key) // 255)]
         pivot = np.partition(sample, len(sample) // 2)[len(sample) // 2]
         low, high = part[key < pivot], part[key > pivot]
         same = part[key == pivot]
