@@ -41,9 +41,9 @@ SKETCH_BITS = 512
 MARGIN = 0.15
 BLOCK_CLASSES, BLOCK_SETS = 10_000, 1_000
 #: Most bytes of the sets of a block, at 8 bytes for each shingle; a task holds two blocks, and some copies of them.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 #: Most bytes of a group's sets as bitmaps over the shingles of the group.
-_BITMAPS = 32 << 20
+_BITMAPS = 16 << 20
 _SLICE = 1 << 20
 
 

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import ship
+from .tables import ship, staged
 
 FOLDS = 5
 TOXIC_DOCS = 4_000
@@ -43,8 +43,9 @@ MIN_MATCH = 6
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 1_024
 #: A word of the toxic dictionary occurs so many times more often in toxic documents than elsewhere.
 LEAST_RATIO = 20.0
-#: And the probability of such a split, had chance dealt its documents to the two classes, is at most this.
-CHANCE = 1e-5
+#: Words expected on the list by chance alone: the probability of a listed word's split, had chance dealt its documents
+#: to the two classes, is at most this over the number of words that could be listed.
+CHANCE_WORDS = 5
 #: Around a word, so that it is trained as a whole.
 _STRIPPED = b".,;:!?|#*$%&()\"'"
 #: Where the content of a trained dictionary begins: after its three starting offsets. Fixed value.
@@ -213,7 +214,10 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
         texts.select("toxic", words)
         .groupBy("word")
         .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary"))
+        .filter("toxic + ordinary > 1")
     )
+    counted = staged(counted, "words")
+    chance = CHANCE_WORDS / max(CHANCE_WORDS, counted.count())
     n_toxic = sum(r["toxic"] for r in chosen)
     rate, other = F.col("toxic") / n_toxic, F.col("ordinary") / (len(chosen) - n_toxic)
     # Chernoff's bound on the tail of the binomial distribution, as a logarithm.
@@ -222,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
         F.col("ordinary") > 0, F.col("ordinary") * F.log(F.col("ordinary") / (n * (1 - share_toxic)))
     ).otherwise(0.0)
     lexicon = (
-        counted.filter((rate > LEAST_RATIO * other) & (surprise >= -float(np.log(CHANCE))))
+        counted.filter((rate > LEAST_RATIO * other) & (surprise >= -float(np.log(chance))))
         .orderBy(F.desc("toxic"), "word")
         .limit(LEXICON)
         .collect()
