@@ -12,8 +12,20 @@ from stationflow.llm import mixing, odd_sketch, packing, pii, toxicity
 from stationflow.llm.tables import free_name, read, staged
 
 
+#: Bytes of an Arrow batch, and the setting with its default.
+_BATCH_BYTES = 4 << 20
+_BATCH_SETTING, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", f"{64 << 20}b"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Smaller batches for Python workers than the default, so that long texts fill less of an executor's memory."""
+    if spark.conf.get(_BATCH_SETTING) == _DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(_BATCH_BYTES))
+
+
 def toxic_documents_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic; empty texts stay."""
+    _small_batches(spark)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     name = free_name(docs, "score")
     return toxicity.score(docs, model, name=name).filter(F.col(name) < 0.5).drop(name)
@@ -21,11 +33,13 @@ def toxic_documents_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    _small_batches(spark)
     return odd_sketch.deduplicate(docs)
 
 
 def personal_data_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    _small_batches(spark)
     redacted = pii.redact(docs)
     if "n_chars" not in docs.columns:
         return redacted
@@ -40,6 +54,7 @@ def sources_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sequences_packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes."""
+    _small_batches(spark)
     return packing.query(docs)
 
 
