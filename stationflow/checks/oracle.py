@@ -433,6 +433,7 @@ def all_sql() -> dict[str, str]:
             FROM (SELECT count(*) AS rows_before, count(*) FILTER (WHERE {all_present}) AS rows_after FROM readings) AS c""",
         "build_ml_dataset": f"SELECT {_rounded(ML_COLUMNS)} FROM ml",
         "city_summary": "SELECT * FROM summary",
+        "city_summary_added": "SELECT * FROM summary",
         "capitalize_city": "SELECT * REPLACE (upper(substr(city, 1, 1)) || substr(city, 2) AS city) FROM summary",
         "select_measures": "SELECT * FROM long WHERE measure IN ('avg_pm10', 'avg_o3')",
         "cross_city_stats": f"""

@@ -16,7 +16,16 @@ from ..functions import aqi_alert, aqi_description, aqi_label, aqi_level_by_key
 from ..operators import clean, features, matrix, medians, metrics, sequences, summary
 from ..operators.scalars import evaluated
 from ..operators.snapshot import snapshot_features
-from ..plans import batch_predict, build_ml_dataset, load_sources, sequence_study, train_all, write_study
+from ..plans import (
+    batch_predict,
+    build_ml_dataset,
+    load_sources,
+    sequence_study,
+    stored_summary,
+    train_all,
+    update_summary,
+    write_study,
+)
 from ..plans.ml_dataset import ml_features
 from ..plans.sequence_study import cell_digest
 from ..schemas import IMPUTED, POLLUTANTS, ROLLING, TARGETS
@@ -234,7 +243,22 @@ def build_ml_dataset_query(spark, sf_dir):
 
 @_query
 def city_summary(spark, sf_dir):
-    return summary_of(spark, sf_dir)
+    """Of a stored dataset, from the states of its parts."""
+    path = shared_dir(spark, "dataset")
+    write_parquet(cleaned(spark, sf_dir), f"{path}.parquet")
+    return stored_summary(spark, f"{path}.parquet", f"{path}-states")
+
+
+@_query
+def city_summary_added(spark, sf_dir):
+    """The same with the dataset in two deliveries and an update after each."""
+    path = shared_dir(spark, "dataset")
+    table = staged(cleaned(spark, sf_dir), "cleaned")
+    late = F.month("date") % 2 == 0
+    for delivered in (table.filter(~late), table.filter(late)):
+        write_parquet(delivered, f"{path}.parquet", mode="append")
+        update_summary(spark, f"{path}.parquet", f"{path}-states")
+    return stored_summary(spark, f"{path}.parquet", f"{path}-states")
 
 
 @_query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,17 @@ def regression_metrics(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> Data
     return _metrics(df, "target", pairs)
 
 
+def grouped_metrics(df: DataFrame, by: Sequence[str], label: str, prediction: str) -> DataFrame:
+    """n, RMSE and R2 per group of rows; rows without a label or prediction do not count."""
+    both = F.col(label).isNotNull() & F.col(prediction).isNotNull()
+    y = F.when(both, F.col(label).cast("double"))
+    error = y - F.col(prediction).cast("double")
+    sums = df.groupBy(*by).agg(F.count(y).alias("n"), F.sum(error * error).alias("_res"), F.var_pop(y).alias("_var"))
+    total = F.col("_var") * F.col("n")
+    r2 = F.when(total > 0, 1 - F.col("_res") / total).when(F.col("_res") == 0, 1.0).when(F.col("_res") > 0, 0.0)
+    return sums.select(*by, "n", F.when(F.col("n") > 0, F.sqrt(F.col("_res") / F.col("n"))).alias("rmse"), r2.alias("r2"))
+
+
 def model_comparison(df: DataFrame, label: str, predictions: dict[str, str]) -> DataFrame:
     """RMSE and R2 per model; ``predictions`` maps a model to its prediction column."""
     return _metrics(df, "model", {model: (label, column) for model, column in predictions.items()})

@@ -14,14 +14,15 @@ from .medians import null_counts
 from .scalars import with_scalars
 
 MEASURES = tuple(SUMMARY_MEASURES)
+#: Summary means and the columns they are of.
+CITY_MEANS = {"avg_pm10": "pm10", "avg_pm25": "pm2_5", "avg_no2": "no2", "avg_o3": "o3"}
 ALL_CITIES = "all"
 
 
 def city_summary(df: DataFrame) -> DataFrame:
     """Per city: pollutant means rounded to 2 digits and the number of PM10 values."""
-    means = {"avg_pm10": "pm10", "avg_pm25": "pm2_5", "avg_no2": "no2", "avg_o3": "o3"}
     return df.groupBy("city").agg(
-        *[half_up(F.avg(c), 2).alias(name) for name, c in means.items()], F.count("pm10").alias("count")
+        *[half_up(F.avg(c), 2).alias(name) for name, c in CITY_MEANS.items()], F.count("pm10").alias("count")
     ).filter(F.col("city").isNotNull())
 
 

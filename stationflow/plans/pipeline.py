@@ -9,11 +9,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.features import drop_nulls
 from ..schemas import default_sources
 from ..session import get_session
 from ..sources import connection_properties, read_dataset, write_jdbc, write_parquet
 from .etl import load_and_unify
-from .ml_dataset import build_ml_dataset, write_ml_dataset
+from .ml_dataset import ml_features, write_ml_dataset
 from .training import save_model, train_all
 
 STEPS = ("etl", "features", "train")
@@ -38,9 +39,11 @@ def run_etl(spark: SparkSession, data_dir: str, output_dir: str, jdbc: dict[str,
 
 def run_features(spark: SparkSession, output_dir: str, jdbc: dict[str, str] | None = None) -> DataFrame:
     raw = read_dataset(spark, f"{output_dir}/raw_air_quality.parquet")
-    counted, seen = _counted(build_ml_dataset(raw), "features")
-    written = write_ml_dataset(counted, output_dir, jdbc=jdbc)
-    log.info("features: %s rows", seen.get["rows"])
+    before, seen_before = _counted(ml_features(raw), "features, all rows")
+    after, seen_after = _counted(drop_nulls(before), "features, complete rows")
+    written = write_ml_dataset(after, output_dir, jdbc=jdbc)
+    rows, kept = seen_before.get["rows"], seen_after.get["rows"]
+    log.info("features: %s rows before dropping nulls, %s after (%.2f %% dropped)", rows, kept, 100 * (rows - kept) / max(1, rows))
     return written
 
 
