@@ -1,7 +1,10 @@
 """Token ids of texts with a public tokenizer file.
 
-The tokenizer breaks a text at white space before anything else, so a text's ids are the ids of its words, one after
-the other. Words repeat, so their ids are kept; the memory for them is bounded.
+The tokenizer breaks a text at white space before anything else, and then into pieces: runs of letters, single digits,
+runs of other signs. A text's ids are the ids of its pieces, one after the other. Where a text has only characters whose
+normal form and lower case are plain to see (printable ASCII, letters of Latin-1 and Latin Extended-A), one regular
+expression finds its pieces; other words go through the tokenizer whole. Pieces repeat, so their ids are kept; the
+memory for them is bounded.
 """
 
 from __future__ import annotations
@@ -9,62 +12,83 @@ from __future__ import annotations
 import re
 from functools import cache
 
-#: Pieces of a lower-case ASCII word, as the tokenizer's own pattern finds them there. Fixed value.
-_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-#: Words that the pieces stand for; the tokenizer writes other bytes in a way of its own.
-_PRINTABLE = re.compile(rb"[!-~]+")
-_ADDED = b"<|"
-KEPT_WORDS = 400_000
-#: Longer words are encoded but not kept.
+#: Letters beyond ASCII that are one code point in every normal form and have one lower-case letter. The capital dotted
+#: I has two.
+_LETTERS = "À-ÖØ-öø-įı-ſ"
+_SPACE = r" \t\n\r\x0b\x0c"
+_PLAIN = re.compile(f"[!-~{_SPACE}{_LETTERS}]*")
+#: Pieces of a lower-case text of plain characters, as the tokenizer's own pattern finds them there. Fixed value.
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^{_SPACE}a-z0-9{_LETTERS}]+")
+_WORDS = re.compile(f"[^{_SPACE}]+")
+_ADDED = "<|"
+KEPT_PIECES = 600_000
+#: Longer pieces are encoded but not kept.
 _LONG = 64
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: itself if it can be printed, else one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Ids(dict):
+    """Ids of pieces, found when first asked for."""
+
+    def __init__(self, model) -> None:
+        super().__init__()
+        self._model = model
+        self._letters = _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self._letters)
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self._model.tokenize(letters)])
+        if len(piece) <= _LONG:
+            self[piece] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids as bytes: little-endian unsigned 32-bit integers, one after the other."""
 
-    def __init__(self, path: str, kept: int = KEPT_WORDS) -> None:
+    def __init__(self, path: str, kept: int = KEPT_PIECES) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
         self._kept = kept
-        self._words: dict[bytes, bytes] = {}
-        self._pieces: dict[bytes, bytes] = {}
+        self._ids = _Ids(self._tokenizer.model)
+        self._others: dict[str, bytes] = {}
 
-    def _piece(self, piece: bytes) -> bytes:
-        ids = self._pieces.get(piece)
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self._ids.__getitem__, _PIECES.findall(text.lower())))
+
+    def _other(self, word: str) -> bytes:
+        ids = self._others.get(word)
         if ids is None:
-            ids = b"".join(t.id.to_bytes(4, "little") for t in self._model.tokenize(piece.decode("ascii")))
-            if len(piece) <= _LONG:
-                self._pieces[piece] = ids
+            encoded = self._tokenizer.encode(word, add_special_tokens=False)
+            ids = b"".join([i.to_bytes(4, "little") for i in encoded.ids])
+            if len(word) <= _LONG:
+                self._others[word] = ids
         return ids
 
-    def _word(self, word: bytes) -> bytes:
-        if _PRINTABLE.fullmatch(word) and _ADDED not in word:
-            return b"".join([self._piece(p) for p in _PIECES.findall(word.lower())])
-        encoded = self._tokenizer.encode(word.decode("utf-8"), add_special_tokens=False)
-        return b"".join(i.to_bytes(4, "little") for i in encoded.ids)
-
     def encode(self, text: bytes) -> bytes:
         """Ids of a text in UTF-8."""
-        words = text.split()
-        known = self._words
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(known) > self._kept:
-            known.clear()
-        if len(self._pieces) > self._kept:
-            self._pieces.clear()
-        parts = []
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = self._word(word)
-                if len(word) <= _LONG and len(known) <= 2 * self._kept:
-                    known[word] = ids
-            parts.append(ids)
+        if len(self._ids) > self._kept:
+            self._ids.clear()
+        if len(self._others) > self._kept // 4:
+            self._others.clear()
+        letters = text.decode("utf-8")
+        if _ADDED not in letters and _PLAIN.fullmatch(letters):
+            return self._plain(letters)
+        parts, plain = [], []
+        for word in _WORDS.findall(letters):
+            if _ADDED not in word and _PLAIN.fullmatch(word):
+                plain.append(word)
+                continue
+            parts += [self._plain(" ".join(plain)), self._other(word)]
+            plain = []
+        parts.append(self._plain(" ".join(plain)))
         return b"".join(parts)
 
 
