@@ -1,9 +1,10 @@
 """Token ids of a corpus as wavelet matrices, one per shard.
 
-A shard holds whole documents in ascending id order, about ``SHARD_TOKENS`` tokens (one document at least). Its file
-is a row of a Parquet table: the ids' bit-planes, most significant first, each stably sorted by the plane before, with
-counts of ones every 512 bits, compressed with zstandard. Opened, it answers what token stands at a place, how often a
-token occurs before a place, and where its k-th occurrence is, without decoding the rest.
+A shard holds whole documents in ascending id order, about ``SHARD_TOKENS`` tokens (one document at least, however
+long). Its file is a row of a Parquet table: the ids' bit-planes, most significant first, each stably sorted by the
+plane before, with counts of ones every 512 bits, compressed with zstandard in frames of 64 KiB. Opened, it answers what
+token stands at a place, how often a token occurs before a place, and where its k-th occurrence is; each of these opens
+the counts and at most three frames a plane.
 
 Documents are dealt by ranges of their id, encoded and written in one pass; shards are numbered in order, and start
 positions are added from the token totals of the ranges. Spark writes the table, so a lost executor's shards are
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,53 +30,90 @@ from .tokens import encoder, vocabulary_path
 END_ID = 2
 SHARD_TOKENS = 4_000_000
 _BLOCK = 512
-_MAGIC = b"WVM1"
+#: Bytes of a plane that are compressed together.
+_FRAME = 1 << 16
+_MAGIC = b"WVM2"
 _HEAD = struct.Struct("<4sBQQ")
 
 
+class _Plane:
+    """Bits of one plane in frames, each opened when first asked for, and counts of ones before each block."""
+
+    def __init__(self, frames: list[bytes], ones: bytes) -> None:
+        self._frames, self._counts = frames, ones
+        self._open: dict[int, np.ndarray] = {}
+
+    @cached_property
+    def ones(self) -> np.ndarray:
+        return np.frombuffer(_opened(self._counts), "<u4")
+
+    def _frame(self, number: int) -> np.ndarray:
+        if number not in self._open:
+            self._open[number] = np.frombuffer(_opened(self._frames[number]), np.uint8)
+        return self._open[number]
+
+    def cut(self, start: int, stop: int) -> np.ndarray:
+        """Bytes of one block; blocks do not cross frames."""
+        number, at = divmod(start, _FRAME)
+        return self._frame(number)[at : at + stop - start]
+
+    def bits(self, n: int) -> np.ndarray:
+        """All bits; frames opened for this are not kept."""
+        if not n:
+            return np.zeros(0, bool)
+        packed = np.concatenate([np.frombuffer(_opened(f), np.uint8) for f in self._frames])
+        return np.unpackbits(packed, count=n, bitorder="little").view(bool)
+
+    @property
+    def opened(self) -> int:
+        return len(self._open)
+
+
+def _opened(frame: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(frame)
+
+
+def _partition(ids: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """Bits of each plane and how many are zero; each plane is the one before, zeros first."""
+    levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
+    ids = ids.astype(np.uint16 if levels <= 16 else np.uint32)
+    other = np.empty_like(ids)
+    for level in range(levels - 1, -1, -1):
+        bit = (ids & ids.dtype.type(1 << level)) != 0
+        zeros = len(ids) - int(np.count_nonzero(bit))
+        yield bit, zeros
+        np.compress(~bit, ids, out=other[:zeros])
+        np.compress(bit, ids, out=other[zeros:])
+        ids, other = other, ids
+
+
 class WaveletMatrix:
     """Bit-planes of a sequence of unsigned integers, with rank and select."""
 
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int], ones: list[np.ndarray]) -> None:
-        self.n, self.planes, self.zeros, self.ones = n, planes, zeros, ones
-
-    @classmethod
-    def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        n = len(ids)
-        levels = max(1, int(ids.max()).bit_length()) if n else 1
-        planes, zeros, ones = [], [], []
-        for shift in range(levels - 1, -1, -1):
-            bit = (ids >> shift & 1).astype(bool)
-            plane = np.zeros(-(-n // _BLOCK) * (_BLOCK // 8), np.uint8)
-            packed = np.packbits(bit, bitorder="little")
-            plane[: len(packed)] = packed
-            counts = np.bitwise_count(plane.view(np.uint64)).reshape(-1, _BLOCK // 64).sum(1)
-            planes.append(plane)
-            ones.append(np.concatenate([[0], np.cumsum(counts)]).astype(np.uint32))
-            zeros.append(n - int(bit.sum()))
-            ids = np.concatenate([ids[~bit], ids[bit]])
-        return cls(n, planes, zeros, ones)
-
-    def _bits(self, level: int) -> np.ndarray:
-        return np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
+    def __init__(self, n: int, planes: list[_Plane], zeros: list[int]) -> None:
+        self.n, self.planes, self.zeros = n, planes, zeros
 
     def decode(self) -> np.ndarray:
         """All ids: the planes undone from the last to the first."""
-        ids = np.zeros(self.n, np.uint32)
+        ids = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in reversed(range(len(self.planes))):
-            bit, z = self._bits(level), self.zeros[level]
-            before = np.empty_like(ids)
-            before[~bit] = ids[:z]
-            before[bit] = ids[z:] | np.uint32(1 << (len(self.planes) - 1 - level))
-            ids = before
-        return ids
+            bit, z = self.planes[level].bits(self.n), self.zeros[level]
+            ids[z:] |= ids.dtype.type(1 << (len(self.planes) - 1 - level))
+            before = np.cumsum(bit, dtype=np.int64)
+            ids = ids[np.where(bit, z - 1 + before, np.arange(self.n) - before)]
+        return ids.astype(np.uint32)
 
     def _rank1(self, level: int, i: int) -> int:
         block, rest = divmod(i, _BLOCK)
-        start = block * (_BLOCK // 8)
-        count = int(self.ones[level][block]) + int(np.bitwise_count(self.planes[level][start : start + rest // 8]).sum())
-        if rest % 8:
-            count += (int(self.planes[level][start + rest // 8]) & ((1 << rest % 8) - 1)).bit_count()
+        count = int(self.planes[level].ones[block])
+        if rest:
+            start = block * (_BLOCK // 8)
+            held = self.planes[level].cut(start, start + _BLOCK // 8)
+            count += int(np.bitwise_count(held[: rest // 8]).sum())
+            if rest % 8:
+                count += (int(held[rest // 8]) & ((1 << rest % 8) - 1)).bit_count()
         return count
 
     def access(self, i: int) -> int:
@@ -82,7 +121,7 @@ class WaveletMatrix:
         value = 0
         for level, plane in enumerate(self.planes):
             ones = self._rank1(level, i)
-            bit = int(plane[i // 8]) >> i % 8 & 1
+            bit = int(plane.cut(i // 8, i // 8 + 1)[0]) >> i % 8 & 1
             i = self.zeros[level] + ones if bit else i - ones
             value = value << 1 | bit
         return value
@@ -108,11 +147,11 @@ class WaveletMatrix:
         return self.rank(symbol, self.n)
 
     def _select_bit(self, level: int, bit: bool, k: int) -> int:
-        ones = self.ones[level].astype(np.int64)
+        ones = self.planes[level].ones.astype(np.int64)
         counts = ones if bit else np.arange(len(ones)) * _BLOCK - ones
         block = int(np.searchsorted(counts, k, "right")) - 1
         start = block * (_BLOCK // 8)
-        bits = np.unpackbits(self.planes[level][start : start + _BLOCK // 8], bitorder="little") == bit
+        bits = np.unpackbits(self.planes[level].cut(start, start + _BLOCK // 8), bitorder="little") == bit
         return block * _BLOCK + int(np.flatnonzero(bits)[k - int(counts[block])])
 
     def select(self, symbol: int, k: int) -> int:
@@ -131,40 +170,46 @@ class WaveletMatrix:
 
 
 def to_bytes(ids: np.ndarray, lengths: np.ndarray) -> bytes:
-    """A shard's file: ids, and how many of them each document has."""
+    """A shard's file: ids, and how many of them each document has.
+
+    A head and the sizes of all frames come first, then the frames, each compressed by itself: the documents' lengths,
+    and per plane its counts and its bits.
+    """
     import zstandard
 
-    matrix = WaveletMatrix.build(ids)
-    parts = [_HEAD.pack(_MAGIC, len(matrix.planes), len(ids), len(lengths)), np.array(matrix.zeros, "<u8").tobytes()]
-    parts.append(lengths.astype("<u8").tobytes())
-    for plane, ones in zip(matrix.planes, matrix.ones, strict=True):
-        parts += [ones.astype("<u4").tobytes(), plane.tobytes()]
-    return zstandard.ZstdCompressor(level=1, write_checksum=True).compress(b"".join(parts))
+    compress = zstandard.ZstdCompressor(level=1, write_checksum=True).compress
+    frames, zeros = [compress(lengths.astype("<u8").tobytes())], []
+    blocks = -(-len(ids) // _BLOCK)
+    for bit, none in _partition(ids):
+        plane = np.zeros(blocks * (_BLOCK // 8), np.uint8)
+        packed = np.packbits(bit, bitorder="little")
+        plane[: len(packed)] = packed
+        counts = np.bitwise_count(plane.view(np.uint64)).reshape(-1, _BLOCK // 64).sum(1, dtype=np.uint32)
+        frames.append(compress(np.concatenate([[0], np.cumsum(counts)]).astype("<u4").tobytes()))
+        frames += [compress(plane[at : at + _FRAME].tobytes()) for at in range(0, len(plane), _FRAME)]
+        zeros.append(none)
+    head = _HEAD.pack(_MAGIC, len(zeros), len(ids), len(lengths))
+    sizes = np.array([len(f) for f in frames], "<u8").tobytes()
+    return b"".join([head, np.array(zeros, "<u8").tobytes(), sizes, *frames])
 
 
 def from_bytes(data: bytes) -> tuple[WaveletMatrix, np.ndarray]:
-    """The matrix of a shard's file and the lengths of its documents."""
-    import zstandard
-
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    magic, levels, n, n_docs = _HEAD.unpack_from(raw)
+    """The matrix of a shard's file and the lengths of its documents; bits stay compressed until they are asked for."""
+    magic, levels, n, n_docs = _HEAD.unpack_from(data)
     if magic != _MAGIC:
         raise ValueError("not a wavelet shard")
-    at = _HEAD.size
-
-    def take(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        found = np.frombuffer(raw, kind, count, at)
-        at += found.nbytes
-        return found
-
-    zeros, lengths = take("<u8", levels), take("<u8", n_docs)
-    blocks = -(-n // _BLOCK)
-    planes, ones = [], []
-    for _ in range(levels):
-        ones.append(take("<u4", blocks + 1))
-        planes.append(take("<u1", blocks * (_BLOCK // 8)))
-    return WaveletMatrix(n, planes, [int(z) for z in zeros], ones), lengths
+    zeros = np.frombuffer(data, "<u8", levels, _HEAD.size)
+    per_plane = 1 + -(-(-(-n // _BLOCK) * (_BLOCK // 8)) // _FRAME)
+    at = _HEAD.size + zeros.nbytes
+    sizes = np.frombuffer(data, "<u8", 1 + levels * per_plane, at)
+    ends = at + sizes.nbytes + np.cumsum(sizes.astype(np.int64))
+    frames = [data[end - size : end] for end, size in zip(ends.tolist(), sizes.tolist(), strict=True)]
+    planes = []
+    for level in range(levels):
+        counts, *bits = frames[1 + level * per_plane : 1 + (level + 1) * per_plane]
+        planes.append(_Plane(bits, counts))
+    lengths = np.frombuffer(_opened(frames[0]), "<u8", n_docs)
+    return WaveletMatrix(n, planes, [int(z) for z in zeros]), lengths
 
 
 def write_shards(

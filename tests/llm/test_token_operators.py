@@ -115,6 +115,35 @@ def test_wavelet_matrix():
             opened.select(symbol, len(ids))
 
 
+def test_wavelet_opens_only_the_frames_it_needs():
+    ids = np.random.default_rng(5).integers(0, 49_408, 3_000_000).astype(np.uint32)
+    matrix, _ = wavelet.from_bytes(wavelet.to_bytes(ids, np.array([len(ids)])))
+    assert sum(p.opened for p in matrix.planes) == 0
+    assert matrix.access(2_000_000) == ids[2_000_000]
+    assert {p.opened for p in matrix.planes} == {1}
+    symbol = int(ids[77])
+    assert matrix.count(symbol) == int((ids == symbol).sum())
+    assert max(p.opened for p in matrix.planes) <= 3
+    assert matrix.occurrences(symbol) == np.flatnonzero(ids == symbol).tolist()
+    assert (matrix.decode() == ids).all()
+
+
+def test_wavelet_of_wide_ids_and_none():
+    ids = np.random.default_rng(6).integers(0, 1 << 20, 5000).astype(np.uint32)
+    assert (wavelet.from_bytes(wavelet.to_bytes(ids, np.array([5000])))[0].decode() == ids).all()
+    empty, lengths = wavelet.from_bytes(wavelet.to_bytes(ids[:0], np.array([], np.int64)))
+    assert len(empty.decode()) == len(lengths) == empty.count(0) == 0
+
+
+def test_letters_beyond_ascii_encode_like_the_tokenizer(tokenizer):
+    rng = np.random.default_rng(7)
+    letters = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA0, 0x180))] + [" "] * 30
+    encoder = WordEncoder(vocabulary_path())
+    for _ in range(3000):
+        text = "".join(rng.choice(letters, rng.integers(0, 25)))
+        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == ids_of(tokenizer, text), text
+
+
 def test_wavelet_round_trip(spark, make_docs, rows, tokenizer):
     path = shared_dir(spark, "wavelet")
     wavelet.write_shards(make_docs(rows), path, shard_tokens=500, ranges=3)
