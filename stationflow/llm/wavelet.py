@@ -32,6 +32,8 @@ SHARD_TOKENS = 4_000_000
 _BLOCK = 512
 #: Bytes of a plane that are compressed together.
 _FRAME = 1 << 16
+#: Ids that decoding puts in place together.
+_CHUNK = 1 << 15
 _MAGIC = b"WVM2"
 _HEAD = struct.Struct("<4sBQQ")
 
@@ -101,8 +103,13 @@ class WaveletMatrix:
         for level in reversed(range(len(self.planes))):
             bit, z = self.planes[level].bits(self.n), self.zeros[level]
             ids[z:] |= ids.dtype.type(1 << (len(self.planes) - 1 - level))
-            before = np.cumsum(bit, dtype=np.int64)
-            ids = ids[np.where(bit, z - 1 + before, np.arange(self.n) - before)]
+            before, zero, one = np.empty_like(ids), 0, z
+            for at in range(0, self.n, _CHUNK):  # parts that stay in the cache
+                held, out = bit[at : at + _CHUNK], before[at : at + _CHUNK]
+                zeros, ones = np.flatnonzero(~held), np.flatnonzero(held)
+                out[zeros], out[ones] = ids[zero : zero + len(zeros)], ids[one : one + len(ones)]
+                zero, one = zero + len(zeros), one + len(ones)
+            ids = before
         return ids.astype(np.uint32)
 
     def _rank1(self, level: int, i: int) -> int:
