@@ -140,9 +140,22 @@ def mix(
     ``propensity`` (above 0, at most 1) scales a document's chance of the additional copy.
     """
     kept = [c for c in docs.columns if c.lower() not in _ADDED]
+    mixed = _mixed(docs, kept, weights, most, seed, propensity)
+    return mixed.select("row.*", "size", "source_size", "target", "copies")
+
+
+def _mixed(
+    docs: DataFrame,
+    columns: list[str],
+    weights: tuple[float, ...] = WEIGHTS,
+    most: float = MOST,
+    seed: int = SEED,
+    propensity: Column | None = None,
+) -> DataFrame:
+    """The named columns in one column ``row``, beside what the mix knows of each document, so no names clash."""
     wish = F.lit(1.0) if propensity is None else F.coalesce(propensity.cast("double"), F.lit(1.0))
     chance = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(_STEPS)) + 0.5) / _STEPS
-    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
     rows = docs.select(
         row, F.col("source"), words(F.col("text")).alias("size"), chance.alias("u"), wish.alias("wish"),
         F.xxhash64("text", "doc_id").alias("tie"),
@@ -174,15 +187,14 @@ def mix(
     return (
         ranked(rows)
         .join(limits, F.col("source").eqNullSafe(F.col("c_source")), "left")
-        .select("row.*", "size", "source_size", "target", (F.col("whole") + extra.cast("bigint")).alias("copies"))
+        .select("row", "size", "source_size", "target", (F.col("whole") + extra.cast("bigint")).alias("copies"))
     )
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every document as often as the mix holds it."""
-    mixed = mix(docs, **options).filter("copies > 0")
-    again = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_copy")
-    return mixed.select(*docs.columns, again).select(*docs.columns)
+    """The mix itself: every document as often as the mix holds it, with all its columns as they are."""
+    again = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    return _mixed(docs, docs.columns, **options).filter("copies > 0").select("row", again).select("row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -393,3 +393,14 @@ def test_windows_cover_the_text():
     found = toxicity.windows(text)
     assert b" ".join(w.strip() for w in found).split() == text.lower().split()
     assert all(len(w) <= 252 for w in found[:-1])
+
+
+def test_mixed_rows_keep_columns_of_any_name(spark):
+    rows = [(i, f"one two three {i}", "ab"[i % 2], f"s{i}", f"x{i}", f"t{i}", f"c{i}", i + 0.5) for i in range(40)]
+    names = ["doc_id", "text", "source", "size", "copies", "target", "_copy", "row"]
+    got = mixing.mixed_rows(spark.createDataFrame(rows, names))
+    assert got.columns == names
+    held = Counter(tuple(r) for r in got.collect())
+    assert set(held) <= set(rows)
+    taken = Counter({r.doc_id: r.copies for r in mixing.mix(spark.createDataFrame(rows, names)).collect() if r.copies})
+    assert Counter({r[0]: n for r, n in held.items()}) == taken
