@@ -393,6 +393,7 @@ def all_sql() -> dict[str, str]:
     bodies = {
         "csv_roundtrip": unified,
         "parquet_roundtrip": "SELECT * FROM readings",
+        "catalog_rerun": "SELECT * REPLACE (pm10 + CASE WHEN city = 'ancona' THEN 1 ELSE 0 END AS pm10) FROM readings",
         "read_dataset": "SELECT * FROM readings",
         "rename_columns": f"""
             SELECT {listed(c for c in READING_COLUMNS if c not in (*_VANISHED, 'date'))},

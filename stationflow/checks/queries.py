@@ -29,7 +29,7 @@ from ..plans import (
 from ..plans.ml_dataset import ml_features
 from ..plans.sequence_study import cell_digest
 from ..schemas import IMPUTED, POLLUTANTS, ROLLING, TARGETS
-from ..sources import read_dataset, shared_dir, staged, write_csv, write_parquet
+from ..sources import create_tables, read_dataset, replace_cities, shared_dir, staged, write_csv, write_parquet
 from . import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,17 @@ def parquet_roundtrip(spark, sf_dir):
     return read_dataset(spark, path)
 
 
+@_query
+def catalog_rerun(spark, sf_dir):
+    """All cities into a catalog table, then one of them again with other values."""
+    table, path = views.readings(spark, sf_dir), shared_dir(spark, "catalog")
+    name = "readings_" + "".join(c for c in path.rsplit("/", 1)[-1] if c.isalnum())
+    create_tables(spark, {name: table.schema}, {name: path})
+    replace_cities(table, name)
+    replace_cities(table.filter("city = 'ancona'").withColumn("pm10", F.col("pm10") + 1), name)
+    return spark.table(name)
+
+
 @_query
 def read_dataset_csv(spark, sf_dir):
     path = f"{shared_dir(spark, 'readings')}.csv"

@@ -15,8 +15,8 @@ from ..operators.features import (
     weather_features,
     window_features,
 )
-from ..schemas import ML_COLUMNS
-from ..sources import read_dataset, write_csv, write_jdbc, write_parquet
+from ..schemas import ML_COLUMNS, ML_SCHEMA
+from ..sources import ML_TABLE, create_tables, read_dataset, replace_cities, write_csv, write_jdbc, write_parquet
 
 
 def ml_features(
@@ -48,11 +48,13 @@ def write_ml_dataset(
     csv: bool = True,
     csv_files: int | None = None,
     jdbc: dict[str, str] | None = None,
-    table: str = "ml.air_quality_ready",
+    table: str = ML_TABLE,
+    catalog: bool = False,
 ) -> DataFrame:
-    """Write Parquet, and CSV and a database table on demand; returns the written dataset.
+    """Write Parquet, and CSV, a database table and a catalog table on demand; returns the written dataset.
 
-    The features are computed once: the other sinks read the Parquet.
+    The features are computed once: the other sinks read the Parquet. In the catalog table the cities of ``df`` replace
+    their rows, and other cities stay.
     """
     path = f"{output_dir}/ml_air_quality.parquet"
     write_parquet(df, path)
@@ -61,4 +63,7 @@ def write_ml_dataset(
         write_csv(written, f"{output_dir}/ml_air_quality.csv", files=csv_files)
     if jdbc:
         write_jdbc(written, table, jdbc)
+    if catalog:
+        create_tables(df.sparkSession, {table: ML_SCHEMA})
+        replace_cities(written, table)
     return written

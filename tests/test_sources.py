@@ -1,15 +1,18 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from stationflow.schemas import ML_SCHEMA, RAW_SCHEMA, SourceSpec
 from stationflow.session import get_session
 from stationflow.sources import (
+    check_schema,
     connection_properties,
     create_tables,
     read_csv,
     read_dataset,
     read_source,
+    replace_cities,
     shared_dir,
     staged,
     write_csv,
@@ -77,6 +80,55 @@ def test_tables(spark):
     assert {f.name: f.dataType for f in spark.table("ml.air_quality_ready").schema} == {f.name: f.dataType for f in ML_SCHEMA}
 
 
+CITIES = "city string, date timestamp, pm10 double"
+
+
+def city_rows(spark, values):
+    return spark.createDataFrame([(c, datetime(2024, 1, 1, h), float(v)) for c, h, v in values], CITIES)
+
+
+def test_a_rerun_replaces_its_cities_only(spark, rows, tmp_path):
+    name = "rerun_cities"
+    first = city_rows(spark, [("a", 0, 1), ("a", 1, 2), ("b", 0, 3), (None, 0, 4)])
+    create_tables(spark, {name: first.schema}, {name: str(tmp_path / name)})
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+
+    def held():
+        return rows(spark.table(name).select("city", F.hour("date"), "pm10"))
+
+    replace_cities(first, name)
+    assert held() == [(None, 0, 4.0), ("a", 0, 1.0), ("a", 1, 2.0), ("b", 0, 3.0)]
+    again = city_rows(spark, [("a", 5, 9), ("c", 0, 7)]).select("pm10", "city", "date")
+    for _ in range(2):  # a repeated run changes nothing more
+        replace_cities(again, name)
+        assert held() == [(None, 0, 4.0), ("a", 5, 9.0), ("b", 0, 3.0), ("c", 0, 7.0)]
+    replace_cities(city_rows(spark, [(None, 2, 8)]), name, balance=False)
+    replace_cities(first.limit(0), name)
+    assert held() == [(None, 2, 8.0), ("a", 5, 9.0), ("b", 0, 3.0), ("c", 0, 7.0)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+
+
+def test_a_failed_write_leaves_the_table(spark, rows, tmp_path):
+    name = "failed_cities"
+    table = city_rows(spark, [("a", 0, 1), ("b", 0, 2)])
+    create_tables(spark, {name: table.schema}, {name: str(tmp_path / name)})
+    replace_cities(table, name)
+    broken = table.withColumn("pm10", F.when(F.col("city") == "b", F.raise_error("broken")).otherwise(F.col("pm10") + 1))
+    with pytest.raises(Exception, match="broken"):
+        replace_cities(broken.withColumn("pm10", F.col("pm10").cast("double")), name)
+    assert rows(spark.table(name)) == rows(table.select("date", "pm10", "city"))
+
+
+def test_rows_that_do_not_fit_a_table_are_refused(spark):
+    table = city_rows(spark, [("a", 0, 1)])
+    check_schema(table.select("pm10", "date", "city"), table.schema, "t")
+    wrong = table.drop("date").withColumns({"pm10": F.lit("x"), "extra": F.lit(1)})
+    with pytest.raises(ValueError, match="t: date is missing, extra is not in the table, pm10 is string, not double"):
+        check_schema(wrong, table.schema, "t")
+    with pytest.raises(ValueError, match="city is there twice"):
+        check_schema(table.select("*", "city"), table.schema, "t")
+
+
 def test_jdbc_options():
     """Options only: no database is opened."""
     plain = read_options("raw.t", PROPERTIES)
