@@ -11,7 +11,7 @@ from stationflow.plans import batch_predict, build_ml_dataset, load_and_unify, l
 from stationflow.plans import pipeline
 from stationflow.plans.training import training_frame
 from stationflow.schemas import ML_COLUMNS, RAW_COLUMNS, TARGETS, default_sources
-from stationflow.sources import read_dataset, write_csv
+from stationflow.sources import ML_TABLE, RAW_TABLE, read_dataset, write_csv
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -46,6 +46,19 @@ def test_dataset_files_agree(spark, dataset, tmp_path, rows):
     assert rows(parquet) == rows(csv)
 
 
+def test_steps_fill_the_catalog_tables(spark, data_dir, tmp_path, rows):
+    path = pipeline.run_etl(spark, data_dir, str(tmp_path), catalog=True)
+    written = pipeline.run_features(spark, str(tmp_path), catalog=True)
+    raw = read_dataset(spark, path)
+    assert rows(spark.table(RAW_TABLE).select(*raw.columns)) == rows(raw)
+    assert rows(spark.table(ML_TABLE).select(*ML_COLUMNS)) == rows(written)
+    some = written.filter("city = 'ancona'").limit(3)
+    write_ml_dataset(some, str(tmp_path / "again"), csv=False, catalog=True)
+    counts = {r["city"]: r["count"] for r in spark.table(ML_TABLE).groupBy("city").count().collect()}
+    expected = {r["city"]: r["count"] for r in written.groupBy("city").count().collect()}
+    assert counts == expected | {"ancona": 3}
+
+
 def test_training_frame(dataset):
     frame, columns = training_frame(dataset)
     assert len(columns) == 51 and not {*TARGETS, "split", "date", "station_name"} & set(columns)
