@@ -1,20 +1,20 @@
 """Repeated phrases across documents, found exactly and removed but for their first occurrence.
 
 A window is ``WINDOW`` consecutive words. Its anchor is the smallest hash among its runs of ``ANCHOR`` words, so equal
-windows have equal anchors, and neighbouring windows mostly share one.
+windows have equal anchors, and neighbouring windows mostly share one. Runs common in a sample of the texts are anchors
+only of windows that have no other run: a short phrase said in many contexts would gather all of these.
 
 1. Texts are told apart by a hash; what an exact copy of a text of a smaller id holds is removed as a whole.
-2. Anchors that occur in two different texts or more are recurring. Only (anchor, text) pairs move for this. Anchors
-   common in a sample of the texts are recurring by that evidence, and their pairs never move, so a phrase that a third
-   of all documents share makes no large group. (At most ``HOT`` anchors are kept for this; any others are found like
-   all the rest.)
+2. Anchors that occur in two different texts or more are recurring. Only (anchor, text) pairs move for this. Common
+   anchors are recurring by the sample's evidence, and their pairs never move, so a passage that a third of all
+   documents share makes no large group. (At most ``HOT`` runs are kept as common; others are treated like all the rest.)
 3. Documents with recurring anchors give up the regions around these: runs of windows with one anchor. Equal regions
    are merged with the smallest and largest id that has them, from partial aggregates.
 4. Regions are dealt by anchor into shards. A shard confirms its recurring windows word by word, compiles them into an
    Aho-Corasick automaton over word numbers, and runs its own regions through it to locate every occurrence, each with
    the smallest id that has it. An anchor of more than ``LARGE_REGIONS`` regions or ``LARGE_CHARS`` characters of them
    would make a large shard. Its regions are cut into single windows instead, whose smallest and largest ids come from
-   partial aggregates, so no task holds what one anchor has.
+   partial aggregates and go back to the regions by (window, salt), so no task holds what one anchor or window has.
 5. Each document loses the words covered by windows that a smaller id has.
 
 Null and empty texts have no words. Null ids lose nothing and are no one's first occurrence. Repeated rows with one id
@@ -34,12 +34,16 @@ from .words import run_hashes, word_hashes
 
 WINDOW = 13
 ANCHOR = 5
-#: Texts sampled for hot anchors (one in so many), how many of them make an anchor hot, and how many are kept.
-HOT_SAMPLE, HOT_TEXTS, HOT = 64, 32, 4_096
+#: Texts sampled for common runs (one in so many), how many of them make a run common, and how many runs are kept.
+HOT_SAMPLE, HOT_TEXTS, HOT = 64, 32, 65_536
 #: Regions of a shard, on average, and most regions and characters of an anchor that goes to one.
 SHARD_REGIONS = 5_000
 LARGE_REGIONS, LARGE_CHARS = 1_000, 200_000
+#: Groups that the regions of one window are dealt into where regions are cut into single windows.
+SALTS = 256
 _SLICE = 1 << 20
+#: The bit that marks common runs; it also makes them larger than all others.
+_COMMON = np.uint64(1 << 63)
 
 
 def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -51,17 +55,26 @@ def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return found
 
 
-def anchor_runs(texts: list[bytes], window: int = WINDOW, anchor: int = ANCHOR):
+def _runs(words: np.ndarray, size: int, hot: np.ndarray) -> np.ndarray:
+    """Hashes of ``size`` consecutive words, marked where they are in ``hot`` (sorted)."""
+    runs = run_hashes(words, size) >> np.uint64(1)
+    if len(hot):
+        known = hot[np.minimum(np.searchsorted(hot, runs), len(hot) - 1)] == runs
+        runs[known] |= _COMMON
+    return runs
+
+
+def anchor_runs(texts: list[bytes], hot: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR):
     """Runs of windows with one anchor: anchor, text number, first window (place in its text) and number of windows.
 
-    Also the number of words of each text.
+    Also the number of words of each text. Anchors in ``hot`` are marked by ``_COMMON``.
     """
     words, counts = word_hashes(texts)
     ends = np.cumsum(counts)
     none = np.zeros(0, np.int64)
     if len(words) < window:
         return np.zeros(0, np.uint64), none, none, none, counts
-    least = _sliding_minimum(run_hashes(words, anchor), window - anchor + 1)
+    least = _sliding_minimum(_runs(words, anchor, hot), window - anchor + 1)
     owner = np.repeat(np.arange(len(texts)), counts)
     places = np.flatnonzero(owner[: len(least)] == owner[window - 1 :])
     if not len(places):
@@ -74,8 +87,30 @@ def anchor_runs(texts: list[bytes], window: int = WINDOW, anchor: int = ANCHOR):
     return value[first], of[first], places[first] - (ends - counts)[of[first]], lengths, counts
 
 
+def _common_runs(texts: DataFrame) -> np.ndarray:
+    """The runs that occur in ``HOT_TEXTS`` sampled texts or more, at most ``HOT``, sorted; ``texts``: t1, text."""
+
+    def found(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            raw, key = utf8(batch.column(1)), np.asarray(batch.column(0))
+            for a, b in slices(map(len, raw), _SLICE):
+                words, counts = word_hashes(raw[a:b])
+                runs = run_hashes(words, ANCHOR) >> np.uint64(1)
+                owner = np.repeat(key[a:b], counts)
+                whole = owner[: len(runs)] == owner[len(owner) - len(runs) :]
+                columns = [pa.array(runs[whole].view(np.int64)), pa.array(owner[: len(runs)][whole])]
+                yield pa.RecordBatch.from_arrays(columns, ["run", "t1"])
+
+    sampled = texts.filter(F.pmod("t1", F.lit(HOT_SAMPLE)) == 0).select("t1", "text")
+    pairs = sampled.mapInArrow(found, "run bigint, t1 bigint").distinct()
+    common = pairs.groupBy("run").count().filter(F.col("count") >= HOT_TEXTS).orderBy(F.desc("count"), "run")
+    return np.sort(np.array([r["run"] for r in common.limit(HOT).collect()], np.int64)).view(np.uint64)  # at most HOT
+
+
 def _anchors(texts: DataFrame, hot: np.ndarray) -> DataFrame:
-    """anchor and t1 of each run, without hot anchors; ``texts``: t1, text."""
+    """anchor and t1 of each run of windows, without common anchors; ``texts``: t1, text."""
 
     def found(batches):
         import pyarrow as pa
@@ -83,8 +118,8 @@ def _anchors(texts: DataFrame, hot: np.ndarray) -> DataFrame:
         for batch in batches:
             raw, key = utf8(batch.column(1)), np.asarray(batch.column(0))
             for a, b in slices(map(len, raw), _SLICE):
-                value, of, *_ = anchor_runs(raw[a:b])
-                cold = ~np.isin(value, hot)
+                value, of, *_ = anchor_runs(raw[a:b], hot)
+                cold = value < _COMMON
                 columns = [pa.array(value[cold].view(np.int64)), pa.array(key[a:b][of[cold]])]
                 yield pa.RecordBatch.from_arrays(columns, ["anchor", "t1"])
 
@@ -110,14 +145,14 @@ def _regions(docs: DataFrame, hot: np.ndarray) -> DataFrame:
             ids, first = batch.column("doc_id").to_pylist(), batch.column("first").to_pylist()
             anchors = batch.column("anchors").to_pylist()
             for a, b in slices(map(len, raw), _SLICE):
-                value, of, start, length, counts = anchor_runs(raw[a:b])
+                value, of, start, length, counts = anchor_runs(raw[a:b], hot)
                 begin = np.searchsorted(of, np.arange(b - a + 1))
                 n_removed, digest, text, regions = [], [], [], []
                 for i in range(b - a):
                     mine, n = slice(begin[i], begin[i + 1]), int(counts[i])
                     copy = ids[a + i] is not None and ids[a + i] > first[a + i]
                     known = np.array(anchors[a + i] or [], np.int64).view(np.uint64)
-                    again = np.isin(value[mine], known) | np.isin(value[mine], hot)
+                    again = np.isin(value[mine], known) | (value[mine] >= _COMMON)
                     words = raw[a + i].split()
                     if copy or ids[a + i] is None or not again.any():
                         gone = copy and n >= WINDOW
@@ -265,11 +300,7 @@ def repeated_phrases(docs: DataFrame) -> DataFrame:
         {"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), "text")}
     )
     with_id = known.filter("doc_id is not null")
-    none = np.zeros(0, np.uint64)
-
-    sampled = _anchors(with_id.filter(F.pmod("t1", F.lit(HOT_SAMPLE)) == 0), none).distinct()
-    common = sampled.groupBy("anchor").count().filter(F.col("count") >= HOT_TEXTS).orderBy(F.desc("count"), "anchor")
-    hot = np.array([r["anchor"] for r in common.limit(HOT).collect()], np.int64).view(np.uint64)  # at most HOT
+    hot = _common_runs(with_id)
 
     by_anchor = Window.partitionBy("anchor")
     recurring = (
@@ -299,9 +330,13 @@ def repeated_phrases(docs: DataFrame) -> DataFrame:
     owners = _owners(small, max(1, -(-merged.count() // SHARD_REGIONS)))
     owners = owners.select("anchor", "r", F.filter(pair, lambda x: x["first"].isNotNull()).alias("owners"))
     if some:
-        single = _single_windows(merged.join(large, "anchor", "left_semi"))
-        first = single.groupBy("window").agg(F.min("low").alias("first"), F.max("high").alias("last")).filter("first < last")
-        located = single.join(first, "window").groupBy("anchor", "r")
+        single = _single_windows(merged.join(large, "anchor", "left_semi")).withColumn("salt", F.pmod("r", F.lit(SALTS)))
+        single = staged(single, "windows")
+        dealt = single.groupBy("window", "salt").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        ends = [F.min("low").alias("first"), F.max("high").alias("last"), F.collect_list("salt").alias("salts")]
+        first = dealt.groupBy("window").agg(*ends).filter("first < last")
+        first = first.select("window", "first", F.explode("salts").alias("salt"))
+        located = single.join(first, ["window", "salt"]).groupBy("anchor", "r")
         owners = owners.unionByName(located.agg(F.collect_list(F.struct("at", "first")).alias("owners")))
     owners = staged(owners, "owners")
 

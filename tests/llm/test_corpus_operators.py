@@ -213,6 +213,17 @@ def test_one_anchor_in_many_contexts(make_docs, prose, monkeypatch):
     assert widest[0] <= 10
 
 
+def test_common_runs_are_no_anchors_beside_others(prose):
+    common = prose(70, 5).encode()
+    texts = [f"{prose(100 + i, 12)} ".encode() + common + f" {prose(400 + i, 12)}".encode() for i in range(40)]
+    texts.append(b" ".join([common] * 4))
+    hot = np.unique(run_hashes(word_hashes([common + b" " + common])[0], 5) >> np.uint64(1))
+    value, of, start, length, counts = phrases.anchor_runs(texts, hot)
+    assert not np.isin(value[of < 40], hot).any() and (value[of < 40] < phrases._COMMON).all()
+    assert (value[of == 40] >= phrases._COMMON).all()  # only common runs: one of them is the anchor
+    assert [int(length[of == i].sum()) for i in range(41)] == [int(c) - 12 for c in counts]
+
+
 def test_phrases_on_given_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
