@@ -36,9 +36,10 @@ WINDOW = 13
 ANCHOR = 5
 #: Texts sampled for common runs (one in so many), how many of them make a run common, and how many runs are kept.
 HOT_SAMPLE, HOT_TEXTS, HOT = 64, 32, 65_536
-#: Regions of a shard, on average, and most regions and characters of an anchor that goes to one.
+#: Regions of a shard, on average, and most regions and characters of an anchor that goes to one. A task needs about 12 kB
+#: for a region of the longest kind met, most of it for the automaton, so the largest anchor takes about 300 MB.
 SHARD_REGIONS = 5_000
-LARGE_REGIONS, LARGE_CHARS = 1_000, 200_000
+LARGE_REGIONS, LARGE_CHARS = 25_000, 4 << 20
 #: Groups that the regions of one window are dealt into where regions are cut into single windows.
 SALTS = 256
 _SLICE = 1 << 20
@@ -119,8 +120,12 @@ def _anchors(texts: DataFrame, hot: np.ndarray) -> DataFrame:
             raw, key = utf8(batch.column(1)), np.asarray(batch.column(0))
             for a, b in slices(map(len, raw), _SLICE):
                 value, of, *_ = anchor_runs(raw[a:b], hot)
-                cold = value < _COMMON
-                columns = [pa.array(value[cold].view(np.int64)), pa.array(key[a:b][of[cold]])]
+                order = np.lexsort((value, of))
+                value, of = value[order], of[order]
+                once = np.ones(len(value), bool)
+                once[1:] = (value[1:] != value[:-1]) | (of[1:] != of[:-1])
+                once &= value < _COMMON
+                columns = [pa.array(value[once].view(np.int64)), pa.array(key[a:b][of[once]])]
                 yield pa.RecordBatch.from_arrays(columns, ["anchor", "t1"])
 
     return texts.select("t1", "text").mapInArrow(found, "anchor bigint, t1 bigint")
