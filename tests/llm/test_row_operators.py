@@ -1,8 +1,9 @@
 """Operators that judge one text or URL at a time, against plain Python."""
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -176,6 +177,98 @@ def plain_url(url):
     return host, path, best and best.text, best and best.verdict
 
 
+def plain_templates(urls):
+    """Template of each (host, path), by walking down one branch at a time."""
+
+    def segments(path):
+        found = []
+        for raw in path.split("/"):
+            bare = re.sub(r"\.[A-Za-z0-9]{1,5}$", "", raw)
+            digit = re.search("[0-9]", bare)
+            varies = re.fullmatch("[0-9]+", bare) or digit and (re.fullmatch("[0-9A-Fa-f-]{8,}", bare) or len(bare) >= 24)
+            found += ["*" if varies else raw] if raw else []
+        return tuple(found)
+
+    count = Counter((h, segments(p)) for h, p in urls)
+    named = {}
+
+    def walk(host, template, paths, level):
+        more = [p for p in paths if len(p) > level]
+        for p in paths:
+            if len(p) <= level or len(more) < url_tree.VARIABLE_VALUES:
+                named[host, p] = template + "".join("/" + s for s in p[level:])
+        if len(more) < url_tree.VARIABLE_VALUES:
+            return
+        values = {p[level] for p in more}
+        uses = sum(count[host, p] for p in more)
+        wild = len(values) >= url_tree.VARIABLE_VALUES and uses <= url_tree.VARIABLE_USES * len(values)
+        groups = {}
+        for p in more:
+            groups.setdefault("*" if wild else p[level], []).append(p)
+        for step, group in groups.items():
+            walk(host, f"{template}/{step}", group, level + 1)
+
+    for host in {h for h, _ in count}:
+        walk(host, "", [p for h, p in count if h == host], 0)
+    return {(h, p): named[h, segments(p)] for h, p in urls}
+
+
+def plain_shares(labels):
+    """Share of each (host, template), by recursion over the tree; ``labels``: (host, template) to labelled, blocked."""
+    shares = {}
+    smooth = lambda n, k: (k + url_tree.PRIOR * url_tree.PRIOR_WEIGHT) / (n + url_tree.PRIOR_WEIGHT)
+    for host in {h for h, _ in labels}:
+        mine = {tuple(t.split("/")[1:]): v for (h, t), v in labels.items() if h == host}
+        split = {}
+
+        def pool(node):
+            n, k = mine.get(node, (0, 0))
+            below = {t[: len(node) + 1] for t in mine if len(t) > len(node) and t[: len(node)] == node}
+            pools = {c: pool(c) for c in below}
+            all_n, all_k = sum(x for x, _ in pools.values()), sum(x for _, x in pools.values())
+            for c, (cn, ck) in pools.items():
+                on, ok = all_n - cn, all_k - ck
+                share = all_k / all_n if all_n else 0
+                far = cn > 1e-9 and on > 1e-9 and abs(ck / cn - ok / on) > url_tree.SIGNIFICANT * math.sqrt(
+                    max(share * (1 - share), 0) * (1 / cn + 1 / on)
+                )
+                if far:
+                    split[c] = smooth(cn, ck)
+                n, k = n + (1 if far else cn), k + (ck / cn if far else ck)
+            return n, k
+
+        split[()] = smooth(*pool(()))
+        for t in mine:
+            shares[host, "".join("/" + s for s in t)] = next(split[t[:d]] for d in range(len(t), -1, -1) if t[:d] in split)
+    return shares
+
+
+def tree_urls():
+    made = [f"http://{h}/{a}/{i}" for h in ("s.com", "example.org") for a in ("de", "fr", "en", "es") for i in range(25)]
+    made += [f"http://s.com/{a}/x/y{i % 3}/z/q/deep{i}/{i}" for a in ("de", "en", "fr") for i in range(70)]
+    made += [f"http://s.com/it/{s}/{i}" for s in ("a", "b") for i in range(9)] + ["http://t.net/a/b"] * 3
+    made += ["http://u.com/fr/a"] * 30 + ["http://u.com/de/a"] * 200 + ["http://u.com/de"] * 3 + ["http://u.com/xx/b"]
+    return made + ["http://s.com/" + "/".join("ab" * 40)]
+
+
+def test_tree_against_recursion(spark, sf):
+    given = [r.url for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    for urls in (tree_urls(), given):
+        plain = [plain_url(u) for u in urls]
+        named = plain_templates([p[:2] for p in plain])
+        labels = {}
+        for host, path, rule, verdict in plain:
+            n, k = labels.get((host, named[host, path]), (0, 0))
+            labels[host, named[host, path]] = (n + (rule is not None), k + (verdict == "block"))
+        shares = plain_shares(labels)
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        for r in url_tree.judge(pages).collect():
+            host, path, _, verdict = plain[r.page_id]
+            assert r.template == named[host, path]
+            assert r.blocked_share == pytest.approx(shares[host, r.template])
+            assert r.verdict == (verdict or ("block" if r.blocked_share > url_tree.MOST_BLOCKED else "allow"))
+
+
 def test_urls(spark, sf):
     odd = [
         None, "", "nothing", "http://", "HTTP://EXAMPLE.Org/ES/x", "http://a.example.org/es/", "http://example.org/en/17?x#y",
@@ -188,7 +281,7 @@ def test_urls(spark, sf):
         for r in url_tree.query(source).collect():
             host, path, rule, verdict = plain_url(given[r.page_id])
             assert (r.host, r.path, r.rule) == (host, path, rule)
-            assert r.verdict == (verdict or r.verdict)
+            assert verdict is None or r.verdict == verdict
     assert url_tree.query(pages.limit(0)).count() == 0
     assert url_tree.judge(pages).count() == len(odd) + 1
 
