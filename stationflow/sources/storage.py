@@ -23,13 +23,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def staged(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None
+) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts lineage: what follows survives lost executors without going back to the sources, and reads columns
-    instead of text.
+    instead of text. ``compression`` is a Parquet codec in place of the session's.
     """
     path = shared_dir(df.sparkSession, name)
     writer = df.write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

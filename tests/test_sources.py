@@ -158,3 +158,10 @@ def test_session_settings(spark, monkeypatch):
     session = get_session("again")
     assert session.conf.get("spark.sql.adaptive.enabled") == "true"
     assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_staged_with_a_codec(spark):
+    df = spark.range(100).selectExpr("id", "repeat('words ', 50) text")
+    stored = staged(df, "codec", compression="zstd")
+    assert stored.exceptAll(df).isEmpty() and stored.count() == 100
+    assert all(".zstd." in f for f in stored.inputFiles())
