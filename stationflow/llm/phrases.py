@@ -318,12 +318,12 @@ def repeated_phrases(docs: DataFrame) -> DataFrame:
     recurring = staged(recurring, "anchors")
     firsts = staged(with_id.groupBy("t1", "t2").agg(F.min("doc_id").alias("first")), "texts")
     about = firsts.join(recurring, "t1", "left")
-    judged = staged(_regions(known.join(about, ["t1", "t2"], "left"), hot), "regions")
+    judged = staged(_regions(known.join(about, ["t1", "t2"], "left"), hot), "regions", compression="zstd")
 
     places = judged.filter("regions is not null").select("doc_id", "t1", F.inline("regions"))
     places = places.withColumn("r", F.xxhash64("words"))
     merged = places.groupBy("anchor", "r", "words").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    merged = staged(merged, "merged")
+    merged = staged(merged, "merged", compression="zstd")
     n_regions = F.count("*").alias("regions")
     sizes = merged.groupBy("anchor").agg(n_regions, F.sum(F.length("words")).alias("chars"))
     large = sizes.filter((F.col("regions") > LARGE_REGIONS) | (F.col("chars") > LARGE_CHARS)).select("anchor")
@@ -336,7 +336,7 @@ def repeated_phrases(docs: DataFrame) -> DataFrame:
     owners = owners.select("anchor", "r", F.filter(pair, lambda x: x["first"].isNotNull()).alias("owners"))
     if some:
         single = _single_windows(merged.join(large, "anchor", "left_semi")).withColumn("salt", F.pmod("r", F.lit(SALTS)))
-        single = staged(single, "windows")
+        single = staged(single, "windows", compression="zstd")
         dealt = single.groupBy("window", "salt").agg(F.min("low").alias("low"), F.max("high").alias("high"))
         ends = [F.min("low").alias("first"), F.max("high").alias("last"), F.collect_list("salt").alias("salts")]
         first = dealt.groupBy("window").agg(*ends).filter("first < last")
