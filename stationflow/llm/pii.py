@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -139,19 +140,22 @@ def fold(char: str) -> str | None:
 
 
 class Mapped:
-    """A rewritten text; ``starts`` and ``ends`` give the source of each character, ``changed`` whether it is new."""
+    """A rewritten text; ``starts`` and ``ends`` give the source of each character, ``changed`` whether it is new.
+
+    Nine bytes a character, as a long text would else hold objects for each.
+    """
 
     def __init__(self, text: str) -> None:
         self.text = text
-        self.starts = list(range(len(text)))
-        self.ends = list(range(1, len(text) + 1))
-        self.changed = [False] * len(text)
+        self.starts = array("i", range(len(text)))
+        self.ends = array("i", range(1, len(text) + 1))
+        self.changed = bytearray(len(text))
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replace the ranges (from, to, by what), in order and apart; each new character covers its whole range."""
         if not edits:
             return
-        text, starts, ends, changed, at = [], [], [], [], 0
+        text, starts, ends, changed, at = [], array("i"), array("i"), bytearray(), 0
         for begin, end, new in edits:
             text.append(self.text[at:begin])
             starts += self.starts[at:begin]
@@ -160,12 +164,12 @@ class Mapped:
             drop = begin < end and not new
             if begin < end:
                 text.append(new)
-                starts += [self.starts[begin]] * len(new)
-                ends += [self.ends[end - 1]] * len(new)
-                changed += [True] * len(new)
+                starts += self.starts[begin : begin + 1] * len(new)
+                ends += self.ends[end - 1 : end] * len(new)
+                changed += b"\1" * len(new)
             at = end
             if drop and end < len(self.changed):  # the character after a dropped one stands for it
-                self.changed[end] = True
+                self.changed[end] = 1
         self.text = "".join([*text, self.text[at:]])
         self.starts = starts + self.starts[at:]
         self.ends = ends + self.ends[at:]
