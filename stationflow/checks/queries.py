@@ -344,7 +344,7 @@ def one_hot(spark, sf_dir):
 
 @_query
 def model_matrix(spark, sf_dir):
-    table = staged(ml_features(views.readings(spark, sf_dir)), "ml_features")
+    table = staged(ml_features(views.readings(spark, sf_dir)), "ml_features", wide=True)
     return rounded(matrix.prepare_features(table, keep=KEYS)[0], 4)
 
 
@@ -414,9 +414,9 @@ def finite_check(spark, sf_dir):
 
 def _prepared(spark, sf_dir):
     """All model inputs and targets, and their names."""
-    table = staged(ml_features(views.readings(spark, sf_dir)), "ml_features")
+    table = staged(ml_features(views.readings(spark, sf_dir)), "ml_features", wide=True)
     frame, columns = matrix.prepare_features(table, keep=KEYS)
-    return staged(frame, "prepared"), [*columns, *TARGETS]
+    return staged(frame, "prepared", wide=True), [*columns, *TARGETS]
 
 
 @_query
@@ -456,7 +456,7 @@ def sequence_starts(spark, sf_dir):
 
 
 def _study(spark, sf_dir):
-    return sequence_study(staged(ml_features(staged(cleaned(spark, sf_dir), "cleaned")), "ml_features"), SEQUENCE_TARGET)
+    return sequence_study(staged(ml_features(staged(cleaned(spark, sf_dir), "cleaned")), "ml_features", wide=True), SEQUENCE_TARGET)
 
 
 @_query
@@ -507,7 +507,7 @@ def model_comparison(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    return train_all(staged(ml_dataset(spark, sf_dir), "ml_dataset"))
+    return train_all(staged(ml_dataset(spark, sf_dir), "ml_dataset", wide=True))
 
 
 @_query

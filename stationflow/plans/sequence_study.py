@@ -15,7 +15,7 @@ from ..operators.scalars import evaluated
 from ..operators.sequence_store import CHUNK_ROWS, SequenceLayout, sequence_chunks, stored_sequences
 from ..operators.sequences import LENGTH, train_rows
 from ..schemas import TARGETS
-from ..sources import staged, write_parquet
+from ..sources import staged, wide_rows, write_parquet
 
 STUDY_TARGET = "o3_next_24h_max"
 
@@ -63,11 +63,12 @@ def sequence_study(
     training sequence the statistics, and so all cells, are null.
     """
     rows, features = study_rows(dataset, target, categories)
-    rows = staged(rows, "study_rows")
+    rows = staged(rows, "study_rows", wide=True)
     layout = SequenceLayout(tuple(features), target, length)
     numbers = [*features, target]
     trained = train_rows(rows, length, train, validation, rows_per_block=rows_per_block)
-    stats = evaluated(scaler_fit(trained, numbers))
+    with wide_rows(dataset.sparkSession):
+        stats = evaluated(scaler_fit(trained, numbers))
     scaled = to_float32(standard_scale(rows, stats, numbers), numbers)
     chunks = sequence_chunks(scaled, layout, train, validation, chunk_rows=chunk_rows, rows_per_block=rows_per_block)
     return SequenceStudy(layout, chunks, stats)
@@ -76,7 +77,8 @@ def sequence_study(
 def write_study(study: SequenceStudy, path: str) -> SequenceStudy:
     """Store chunks, layout and statistics below ``path``; returns the stored study."""
     spark = study.chunks.sparkSession
-    write_parquet(study.chunks, f"{path}/chunks.parquet")
+    with wide_rows(spark):
+        write_parquet(study.chunks, f"{path}/chunks.parquet")
     write_parquet(study.stats, f"{path}/stats.parquet")
     layout = study.layout
     schema = "features array<string>, target string, length int"
@@ -92,9 +94,26 @@ def read_study(spark: SparkSession, path: str) -> SequenceStudy:
 
 
 def cell_digest(sequence: str = "sequence", modulus: int = 1009, factor: int = 7919) -> F.Column:
-    """Sum of all cells of an array, each with a weight of its own place, so that no two cells can change places unseen."""
+    """Sum of all cells of an array, each with a weight of its own place, so that no two cells can change places unseen.
 
-    def weighted(value: F.Column, place: F.Column) -> F.Column:
-        return value.cast("double") * ((place + 1) * factor % modulus) / F.lit(float(modulus))
+    The cells are added in their order, in doubles; an array with a null cell has none. Works on Arrow batches.
+    """
+
+    def digests(arrays):  # defined here, so that it goes to workers that lack the package
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        longest = pc.max(pc.list_value_length(arrays)).as_py() or 0
+        weights = np.arange(1, longest + 1, dtype=np.int64) * factor % modulus
+
+        def digest(cells):
+            if cells is None or cells.null_count:
+                return None
+            values = cells.to_numpy(zero_copy_only=False).astype(np.float64)
+            sums = np.cumsum(values * weights[: len(values)] / float(modulus))
+            return float(sums[-1]) + 0.0 if len(sums) else 0.0
+
+        return pa.array([digest(a.values) for a in arrays], pa.float64())
 
-    return F.aggregate(F.transform(sequence, weighted), F.lit(0.0), lambda a, v: a + v)
+    return F.arrow_udf(digests, "double")(F.col(sequence))

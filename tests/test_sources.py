@@ -15,6 +15,7 @@ from stationflow.sources import (
     replace_cities,
     shared_dir,
     staged,
+    wide_rows,
     write_csv,
     write_metrics,
     write_parquet,
@@ -165,3 +166,18 @@ def test_staged_with_a_codec(spark):
     stored = staged(df, "codec", compression="zstd")
     assert stored.exceptAll(df).isEmpty() and stored.count() == 100
     assert all(".zstd." in f for f in stored.inputFiles())
+
+
+def test_wide_tables_are_written_operator_by_operator(spark):
+    """One method for all columns would be too large for the JVM to compile."""
+    setting = "spark.sql.codegen.wholeStage"
+    before, seen = spark.conf.get(setting), []
+    frame = spark.range(9).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(60)])
+    with wide_rows(spark):
+        seen.append(frame.filter("c59 > 60")._jdf.queryExecution().executedPlan().toString())
+    assert "*(" not in seen[0] and spark.conf.get(setting) == before
+    written = staged(frame, "wide", wide=True)
+    assert sorted(written.collect()) == sorted(frame.collect()) and spark.conf.get(setting) == before
+    with pytest.raises(ZeroDivisionError), wide_rows(spark):
+        1 / 0
+    assert spark.conf.get(setting) == before
