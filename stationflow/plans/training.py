@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators.matrix import drop_null_targets, hash_split, to_float32
 from ..operators.metrics import regression_metrics
 from ..schemas import TARGET_NAMES, TARGETS
-from ..sources import staged, write_metrics, write_parquet
+from ..sources import staged, wide_rows, write_metrics, write_parquet
 from .preparation import PopulationScaler, PopulationScalerModel, fit_inputs
 
 SEED = 42
@@ -79,9 +79,10 @@ def prepared_vectors(dataset: DataFrame) -> tuple[DataFrame, PipelineModel, Popu
     Levels and medians come from all labelled rows, means and deviations from the training part.
     """
     inputs, features = fit_inputs(drop_null_targets(dataset))
-    frame = staged(training_frame(dataset, (inputs, features))[0], "training_rows")
+    frame = staged(training_frame(dataset, (inputs, features))[0], "training_rows", wide=True)
     trained = frame.filter(F.col("split") == "train")
-    scaler = PopulationScaler(inputCols=features).fit(trained)
+    with wide_rows(dataset.sparkSession):
+        scaler = PopulationScaler(inputCols=features).fit(trained)
     target_scaler = PopulationScaler(inputCols=list(TARGETS)).fit(trained)
     assembler = VectorAssembler(inputCols=features, outputCol=VECTOR)
     vectors = assembler.transform(scaler.transform(frame)).select(VECTOR, *TARGETS, "split")
@@ -90,7 +91,7 @@ def prepared_vectors(dataset: DataFrame) -> tuple[DataFrame, PipelineModel, Popu
         inputCols=[scaled_name(t) for t in TARGETS],
         stats={f"{scaled_name(t)}_{s}": v for t in TARGETS for s, v in zip(("mean", "std"), target_scaler.of(t), strict=True)},
     )
-    table = staged(renamed.transform(labels), "training", partition_by=["split"])
+    table = staged(renamed.transform(labels), "training", partition_by=["split"], wide=True)
     return table, PipelineModel([*inputs.stages, scaler, assembler]), target_scaler
 
 
