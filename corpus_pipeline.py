@@ -12,15 +12,19 @@ from stationflow.llm import mixing, odd_sketch, packing, pii, toxicity
 from stationflow.llm.tables import free_name, read, staged
 
 
-#: Bytes of an Arrow batch, and the setting with its default.
-_BATCH_BYTES = 4 << 20
-_BATCH_SETTING, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", f"{64 << 20}b"
+#: Settings with their defaults and what the stages use: bytes of an Arrow batch, rows of a batch that is read from Parquet.
+_BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": (f"{64 << 20}b", str(1 << 20)),
+    "spark.sql.parquet.columnarReaderBatchSize": ("4096", "512"),
+}
 
 
 def _small_batches(spark: SparkSession) -> None:
-    """Smaller batches for Python workers than the default, so that long texts fill less of an executor's memory."""
-    if spark.conf.get(_BATCH_SETTING) == _DEFAULT:
-        spark.conf.set(_BATCH_SETTING, str(_BATCH_BYTES))
+    """Smaller batches than the defaults, so that long texts fill less of an executor's memory: its JVM holds a batch of
+    texts as one array, which grows by doubling, and its Python workers outlive the stages. Other settings stay."""
+    for setting, (default, small) in _BATCHES.items():
+        if spark.conf.get(setting) == default:
+            spark.conf.set(setting, small)
 
 
 def toxic_documents_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,6 +53,7 @@ def personal_data_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def sources_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix holds them."""
+    _small_batches(spark)
     return mixing.mixed_rows(docs)
 
 

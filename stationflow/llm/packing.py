@@ -52,7 +52,16 @@ def tokenized_pieces(
     def cut(batches):
         import pyarrow as pa
 
-        encode, end = encoder(path).encode, end_id.to_bytes(4, "little")
+        words, end = encoder(path), end_id.to_bytes(4, "little")
+        try:
+            yield from pieces_of(batches, words.encode, end)
+        finally:  # else each idle worker of an executor would hold its pieces beside the next stages
+            words.forget()
+            pa.default_memory_pool().release_unused()
+
+    def pieces_of(batches, encode, end):
+        import pyarrow as pa
+
         width = 4 * capacity
         for batch in batches:
             rows, piece, start, length, parts, held = [], [], [], [], [], 0

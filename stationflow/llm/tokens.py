@@ -4,7 +4,7 @@ The tokenizer breaks a text at white space before anything else, and then into p
 runs of other signs. A text's ids are the ids of its pieces, one after the other. Where a text has only characters whose
 normal form and lower case are plain to see (printable ASCII, letters of Latin-1 and Latin Extended-A), one regular
 expression finds its pieces; other words go through the tokenizer whole. Pieces repeat, so their ids are kept; the
-memory for them is bounded.
+memory for them is bounded. A worker outlives its task, so a task that ends should :meth:`~WordEncoder.forget` them.
 """
 
 from __future__ import annotations
@@ -60,6 +60,11 @@ class WordEncoder:
         self._ids = _Ids(self._tokenizer.model)
         self._others: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Free the pieces kept; they are found again when needed."""
+        self._ids.clear()
+        self._others.clear()
+
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self._ids.__getitem__, _PIECES.findall(text.lower())))
 

@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-PIECE = 2 << 20
+PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
