@@ -2,7 +2,9 @@
 
 * The ordinary dictionary is trained on windows of ordinary text.
 * The toxic dictionary is not trained on whole toxic text, most of whose words are ordinary. A list replaces it: the
-  words that toxic documents have more often than chance explains and ordinary documents lack. Training arranges them
+  words that toxic documents have more often than chance explains and ordinary documents lack. Copies count once there:
+  of documents of a class whose three-word runs have the same least hash, as copies and most near copies do, one is
+  counted, since the words of a document that is copied often would pass for words of many. Training arranges them
   by how often they occur, and each listed word that it leaves out is added, so the dictionary holds the whole list.
   The list is laid behind the ordinary content, so both dictionaries compress ordinary text alike; the ordinary one
   gets filler of the same size there. Toxic phrases of ordinary words are not found.
@@ -13,7 +15,7 @@
 
 Learned from a bounded sample of labelled documents: at most ``TOXIC_DOCS`` and ``ORDINARY_DOCS`` of them, by a hash of
 their id, at most ``LEXICON`` words and ``WINDOWS`` windows of those. Every document is scored in full. Scoring works
-row by row; only sampled documents are ever moved.
+row by row; of documents only words and short windows of the sample are ever moved.
 
 A null or empty text has no windows and gets the score of a text without evidence. Ids with contradictory labels teach
 nothing, nor do null labels or null ids; repeated equal labels count once. With one class only, or no labels, every
@@ -139,6 +141,21 @@ def _words(texts):
     return pa.array(found, pa.list_(pa.string()))
 
 
+def _signatures(texts):
+    """The least hash of a text's runs of three words; of all its words, if there are fewer. Without words null."""
+    import pyarrow as pa
+
+    from .tables import utf8
+    from .words import run_hashes, word_hashes
+
+    found = []
+    for text in utf8(texts):
+        words = word_hashes([text], lower=True)[0]
+        runs = run_hashes(words, min(3, len(words))) if len(words) else words
+        found.append(int(runs.min().view("i8")) if len(runs) else None)
+    return pa.array(found, pa.int64())
+
+
 def _windows_of(most: int):
     """At most so many short windows of each text, by a checksum."""
 
@@ -209,19 +226,28 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
     # At most ``toxic_docs + ordinary_docs`` ids are broadcast; documents stay where they are.
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
 
-    words = F.explode(F.arrow_udf(_words, "array<string>")("text")).alias("word")
+    words, signature = F.arrow_udf(_words, "array<string>")("text"), F.arrow_udf(_signatures, "bigint")("text")
+    # Copies count once; a row per sampled document at most.
+    distinct = (
+        texts.select("toxic", words.alias("words"), signature.alias("signature"))
+        .groupBy("toxic", "signature")
+        .agg(F.min("words").alias("words"))
+        .select("toxic", "words")
+    )
+    distinct = staged(distinct, "distinct")
+    sizes = {r["toxic"]: r["count"] for r in distinct.groupBy("toxic").count().collect()}
+    toxic_texts, ordinary_texts = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
     counted = (
-        texts.select("toxic", words)
+        distinct.select("toxic", F.explode("words").alias("word"))
         .groupBy("word")
         .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary"))
         .filter("toxic + ordinary > 1")
     )
     counted = staged(counted, "words")
     chance = CHANCE_WORDS / max(CHANCE_WORDS, counted.count())
-    n_toxic = sum(r["toxic"] for r in chosen)
-    rate, other = F.col("toxic") / n_toxic, F.col("ordinary") / (len(chosen) - n_toxic)
+    rate, other = F.col("toxic") / toxic_texts, F.col("ordinary") / ordinary_texts
     # Chernoff's bound on the tail of the binomial distribution, as a logarithm.
-    n, share_toxic = F.col("toxic") + F.col("ordinary"), n_toxic / len(chosen)
+    n, share_toxic = F.col("toxic") + F.col("ordinary"), toxic_texts / (toxic_texts + ordinary_texts)
     surprise = F.col("toxic") * F.log(F.col("toxic") / (n * share_toxic)) + F.when(
         F.col("ordinary") > 0, F.col("ordinary") * F.log(F.col("ordinary") / (n * (1 - share_toxic)))
     ).otherwise(0.0)
@@ -232,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
         .collect()
     )
     # Twice the windows wanted, over all ordinary documents: a bound on what the tasks send, whatever their number.
-    each = -(-2 * WINDOWS // (len(chosen) - n_toxic))
+    each = -(-2 * WINDOWS // sum(1 - r["toxic"] for r in chosen))
     piece = F.explode(F.arrow_udf(_windows_of(each), "array<binary>")("text")).alias("piece")
     pieces = texts.filter("toxic = 0").select(piece).orderBy(F.xxhash64("piece"), "piece").limit(WINDOWS).collect()
     ordinary, toxic = train_dictionaries([bytes(r["piece"]) for r in pieces], [(r["word"], r["toxic"]) for r in lexicon])

@@ -399,6 +399,40 @@ def test_the_toxic_dictionary_holds_the_whole_list(spark, make_docs):
     assert all(toxicity.evidence(b"  %b  " % w.encode(), model.ordinary, model.toxic)[0] >= 2 for w in wanted)
 
 
+def test_words_of_copied_documents_do_not_pass_for_toxic_words(spark, make_docs):
+    rng = random.Random(9)
+    name = lambda a: a + "".join(rng.choice("aeioubdgklmnprstvz") for _ in range(8))
+    calm, foul = [name("c") for _ in range(200)], [name("f") for _ in range(6)]
+    rows, labels, seldom = [], [], set()
+    for i in range(1600):
+        if i % 4 or i % 160 == 0:
+            words = [rng.choice(calm) for _ in range(60)]
+        if i % 160 == 0:  # each of these texts comes forty times, every other time a little changed
+            own = [name("s") for _ in range(40)]
+            seldom |= set(own)
+            copied = [*words, *own, foul[i // 160 % 6], foul[(i // 160 + 1) % 6]]
+            rng.shuffle(copied)
+        if i % 4 == 0:
+            words = copied[: len(copied) - i // 4 % 2]
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 4 == 0)))
+    for i in range(1600, 2000):
+        rows.append((i, " ".join([rng.choice(calm) for _ in range(30)] + rng.sample(foul, 2))))
+        labels.append((i, 1, 1))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(make_docs(rows), table)
+    held = set(model.toxic.split())
+    assert {w.encode() for w in foul} <= held
+    assert not {w.encode() for w in seldom} & held
+
+
+def test_texts_without_toxic_documents_or_words_are_scored(spark, make_docs):
+    rows = [(i, "some ordinary words " * 5) for i in range(20)] + [(30, None), (31, "")]
+    table = spark.createDataFrame([(i, 1, int(i >= 30)) for i in range(60)], "doc_id long, quality int, toxic int")
+    for some in (rows, rows[:20], rows[20:]):
+        assert toxicity.query(make_docs(some), table).filter("score between 0 and 1").count() == len(some)
+
+
 def test_windows_cover_the_text():
     text = b"Ab  cd\n" * 200 + b"x" * 600
     found = toxicity.windows(text)
