@@ -3,8 +3,9 @@
 The tokenizer breaks a text at white space before anything else, and then into pieces: runs of letters, single digits,
 runs of other signs. A text's ids are the ids of its pieces, one after the other. Where a text has only characters whose
 normal form and lower case are plain to see (printable ASCII, letters of Latin-1 and Latin Extended-A), one regular
-expression finds its pieces; other words go through the tokenizer whole. Pieces repeat, so their ids are kept; the
-memory for them is bounded. A worker outlives its task, so a task that ends should :meth:`~WordEncoder.forget` them.
+expression finds the pieces of its words; other words go through the tokenizer whole. Words and pieces repeat, so their
+ids are kept, and only a word that is not known is broken into pieces; the memory for both is bounded. A worker outlives
+its task, so a task that ends should :meth:`~WordEncoder.forget` them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import cache
 _LETTERS = "À-ÖØ-öø-įı-ſ"
 _SPACE = r" \t\n\r\x0b\x0c"
 _PLAIN = re.compile(f"[!-~{_SPACE}{_LETTERS}]*")
-#: Pieces of a lower-case text of plain characters, as the tokenizer's own pattern finds them there. Fixed value.
+#: Pieces of a lower-case word of plain characters, as the tokenizer's own pattern finds them there. Fixed value.
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^{_SPACE}a-z0-9{_LETTERS}]+")
 _WORDS = re.compile(f"[^{_SPACE}]+")
 _ADDED = "<|"
@@ -34,18 +35,22 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Ids(dict):
-    """Ids of pieces, found when first asked for."""
+    """Ids of lower-case words of plain characters and of their pieces, found when first asked for."""
 
     def __init__(self, model) -> None:
         super().__init__()
         self._model = model
         self._letters = _byte_letters()
 
-    def __missing__(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self._letters)
-        ids = b"".join([t.id.to_bytes(4, "little") for t in self._model.tokenize(letters)])
-        if len(piece) <= _LONG:
-            self[piece] = ids
+    def __missing__(self, word: str) -> bytes:
+        pieces = _PIECES.findall(word)
+        if len(pieces) > 1:
+            ids = b"".join([self[piece] for piece in pieces])
+        else:
+            letters = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self._letters)
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self._model.tokenize(letters)])
+        if len(word) <= _LONG:
+            self[word] = ids
         return ids
 
 
@@ -61,12 +66,12 @@ class WordEncoder:
         self._others: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        """Free the pieces kept; they are found again when needed."""
+        """Free the words and pieces kept; they are found again when needed."""
         self._ids.clear()
         self._others.clear()
 
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self._ids.__getitem__, _PIECES.findall(text.lower())))
+        return b"".join(map(self._ids.__getitem__, text.lower().split()))
 
     def _other(self, word: str) -> bytes:
         ids = self._others.get(word)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from stationflow.llm import packing, wavelet
+from stationflow.llm import packing, tokens, wavelet
 from stationflow.llm.tables import shared_dir
 from stationflow.llm.tokens import WordEncoder, vocabulary_path
 
@@ -38,6 +38,25 @@ def rows(prose):
     return [(i * 3, t) for i, t in enumerate(texts)] + [(None, "no id"), (6, ODD[1])]
 
 
+def test_only_words_not_seen_before_are_broken_into_pieces(tokenizer, monkeypatch):
+    broken = []
+
+    class Counted:
+        def findall(self, text):
+            broken.append(text)
+            return pieces.findall(text)
+
+    pieces = tokens._PIECES
+    monkeypatch.setattr(tokens, "_PIECES", Counted())
+    encode = tokens.WordEncoder(tokens.vocabulary_path()).encode
+    text = "It's 'REAL', we'll see: 3.14 (r\u00e9el) --''s don't!!'ve\n" * 30
+    expected = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert encode(text.encode()) == expected
+    assert sum(map(len, broken)) < 3 * len(text) / 30
+    broken.clear()
+    assert encode(text.encode()) == expected and not broken
+
+
 def test_packing(make_docs, rows, tokenizer):
     got = packing.pack(make_docs(rows), capacity=256).collect()
     expected = Counter()
