@@ -227,10 +227,10 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordina
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
 
     words, signature = F.arrow_udf(_words, "array<string>")("text"), F.arrow_udf(_signatures, "bigint")("text")
-    # Copies count once; a row per sampled document at most.
+    # Copies count once, texts without words each; a row per sampled document at most.
     distinct = (
-        texts.select("toxic", words.alias("words"), signature.alias("signature"))
-        .groupBy("toxic", "signature")
+        texts.select("doc_id", "toxic", words.alias("words"), signature.alias("signature"))
+        .groupBy("toxic", F.coalesce("signature", F.xxhash64("doc_id")).alias("signature"))
         .agg(F.min("words").alias("words"))
         .select("toxic", "words")
     )
