@@ -26,7 +26,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import ship, staged, utf8
+from .tables import ship, small_batches, staged, utf8
 from .tokens import encoder, vocabulary_path
 
 CAPACITY = 4096
@@ -308,9 +308,15 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = NODES, rows_
     return ranked.withColumn("at", at("length", F.col("rank") + F.col("base"))).select(*pieces.columns, "at.*")
 
 
+def _stored(pieces: DataFrame) -> DataFrame:
+    """Small batches, as ids are made from whole texts."""
+    with small_batches(pieces.sparkSession):
+        return staged(pieces, "pieces")
+
+
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces with their ids, sequence and offset there."""
-    return place(staged(tokenized_pieces(docs, path, capacity, end_id), "pieces"), capacity)
+    return place(_stored(tokenized_pieces(docs, path, capacity, end_id)), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -322,9 +328,11 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def query(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Where each piece is, with a digest of its ids in place of the ids."""
-    pieces = staged(tokenized_pieces(docs, path, capacity), "pieces")
-    digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return place(digest, capacity).select(
+    """Where each piece is, with a digest of its ids in place of the ids.
+
+    The digest is stored beside the ids, as batches of ids read back would fill an executor's memory.
+    """
+    pieces = _stored(tokenized_pieces(docs, path, capacity).withColumn("ids_crc32", F.crc32("ids")))
+    return place(pieces.drop("ids"), capacity).select(
         "doc_id", "piece", "start", F.col("length").cast("bigint").alias("length"), "ids_crc32", "sequence_id", "offset"
     )

@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,30 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Settings with their defaults and smaller values: bytes of an Arrow batch, rows of a batch that is read from Parquet.
+BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": (f"{64 << 20}b", str(1 << 20)),
+    "spark.sql.parquet.columnarReaderBatchSize": ("4096", "512"),
+}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Actions meanwhile read and pass texts in smaller batches, so that these fill less of an executor's memory.
+
+    Settings other than the defaults stay. Results are the same.
+    """
+    changed = {name: small for name, (default, small) in BATCHES.items() if spark.conf.get(name) == default}
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, small in changed.items():
+            spark.conf.set(name, small)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

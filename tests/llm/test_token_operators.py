@@ -78,6 +78,36 @@ def test_packing(make_docs, rows, tokenizer):
     assert len(places) <= -(-total // 256) + 1
 
 
+def test_packing_takes_small_batches_and_reads_no_ids_back(spark, make_docs, rows, tokenizer, monkeypatch):
+    read, passed = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, held, stored = {k: spark.conf.get(k) for k in (read, passed)}, [], []
+
+    def recorded(df, *rest):
+        held.append((int(spark.conf.get(read)), int(spark.conf.get(passed).rstrip("b"))))
+        stored.append(packing_staged(df, *rest))
+        return stored[-1]
+
+    packing_staged = packing.staged
+    monkeypatch.setattr(packing, "staged", recorded)
+    try:
+        for k in before:
+            spark.conf.unset(k)
+        defaults = {k: spark.conf.get(k) for k in before}
+        got = packing.query(make_docs(rows), capacity=256)
+        assert held[0][0] <= 512 and held[0][1] <= 1 << 20
+        assert {k: spark.conf.get(k) for k in before} == defaults
+        spark.conf.set(read, "100")
+        packing.pack(make_docs(rows), capacity=256)
+        assert held[1][0] == 100 and held[1][1] <= 1 << 20 and spark.conf.get(read) == "100"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "ids:binary" not in got._jdf.queryExecution().toString()
+    kept = Counter((r.doc_id, r.piece, r.start, r.length, zlib.crc32(r.ids)) for r in stored[0].collect())
+    assert Counter(tuple(r)[:5] for r in got.collect()) == kept
+    assert sum(r.length for r in stored[0].collect()) == sum(len(ids_of(tokenizer, t)) + 1 for _, t in rows)
+
+
 def test_sequences_hold_the_ids(make_docs, rows):
     packed = packing.pack(make_docs(rows), capacity=128)
     held = {r.sequence_id: r for r in packing.sequences(packed).collect()}
