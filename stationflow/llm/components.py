@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import staged
+from .tables import small_broadcasts, staged
 
 
 def components(links: DataFrame) -> DataFrame:
     """``id`` and ``component`` (the smallest reachable id) of every vertex of the links ``a``, ``b``.
 
     Every vertex points to its smallest neighbour if that is smaller, pointers are shortened until they reach a root,
-    and the links between different roots make the next, smaller graph. Each step writes a small table.
+    and the links between different roots make the next, smaller graph. Each step writes a small table; nothing that grows
+    with the graph passes the driver.
     """
+    with small_broadcasts(links.sparkSession):
+        return _connected(links)
+
+
+def _connected(links: DataFrame) -> DataFrame:
     edges = staged(links.filter("a <> b").select("a", "b").distinct(), "links")
     found = staged(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("component", F.col("id")), "vertices")
     while edges.limit(1).count():

@@ -22,6 +22,9 @@ at least T = ceil(percent * n / 100) of its inverted lists, and every one of the
 A bucket also names each set that has shingles in it (16 bytes), so what moves grows from 6 bytes a shingle towards 22
 where the corpus needs more buckets than a set has shingles.
 
+The driver gets the long lists, the filter of step 4 (a bitmap of fixed size) and tables of at most ``BROADCAST_BYTES``,
+at any size of the corpus; all other joins move their rows between tasks. The result is stored.
+
 Nothing is capped: frequent shingles beyond ``LONG_LISTS`` are ordinary lists, which changes the plan but not the result.
 Lists that are no long lists have at most about 0.2 % of all sets as members, as frequent ones are seen within tasks.
 
@@ -43,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import ship, slices, staged, utf8
+from .tables import ship, slices, small_broadcasts, staged, utf8
 from .words import mix, run_hashes, word_hashes
 
 #: Lists that every task knows (24 bytes each), and what makes one: so many sets of a task, and that share of all sets.
@@ -466,6 +469,11 @@ def _links(docs: DataFrame, classes: DataFrame, edges: DataFrame, rule: Rule) ->
 
 def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id and text)."""
+    with small_broadcasts(docs.sparkSession):
+        return staged(_joined(docs, rule), "components")
+
+
+def _joined(docs: DataFrame, rule: Rule) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     all_rows = staged(signatures(slim, rule), "signatures")
     signed = all_rows.filter("n is not null").select("doc_id", "n", "k1", "k2")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from stationflow.llm import divergence, importance, overlap_join
+from stationflow.llm import components, divergence, importance, overlap_join, tables
 from stationflow.llm.overlap_join import Rule, forest, merge_skip
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -102,6 +102,62 @@ def test_join_of_an_empty_table(make_docs):
     assert joined(make_docs([(1, None)]), Rule()) == [("1", 0, 1)]
 
 
+@pytest.fixture
+def plans(monkeypatch):
+    """Plans of all tables that the join and its components store, as their actions see the settings."""
+    seen, plain = [], tables.staged
+
+    def told(df, *args, **named):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, *args, **named)
+
+    monkeypatch.setattr(components, "staged", told)
+    monkeypatch.setattr(overlap_join, "staged", told)
+    return seen
+
+
+def test_components_keep_large_tables_out_of_the_driver(spark, plans):
+    """Tables of 400,000 vertices are 1 to 4 MB of files, which Spark would broadcast by default."""
+    links = spark.range(400_000).selectExpr("id + 1000 a", "id % 200000 + 1000 b")
+    found = components.components(links)
+    assert [tuple(r) for r in found.selectExpr("count(*)", "sum(component - 1000 - (id - 1000) % 200000)").collect()] == [(400_000, 0)]
+    assert sum("Join" in p for p in plans) >= 3
+    assert not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_join_broadcasts_nothing_that_grows(make_docs, prose, plans, monkeypatch):
+    """With no table small enough only the filter of the texts, a bitmap, is left; parts and pairs of parts included."""
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", 0, raising=False)
+    monkeypatch.setattr(overlap_join, "GROUP_BYTES", 3000)
+    monkeypatch.setattr(overlap_join, "PIVOTS", 0)
+    rows = ODD + [(300 + i, t) for i, t in enumerate(versions(prose, 30, 9, seed=2))]
+    assert joined(make_docs(rows), Rule(4, 85)) == linked(rows, Rule(4, 85))
+    broadcast = [line for p in plans for line in p.splitlines() if "BroadcastHashJoin" in line]
+    assert len(broadcast) == 2 and all("[word#" in line for line in broadcast)
+
+
+def test_small_broadcasts_lower_larger_settings_only(spark):
+    fixed, adaptive = tables._BROADCASTS
+    before = spark.conf.get(fixed)
+    try:
+        for value, expected in (("10MB", "262144"), ("-1", "-1"), ("1k", "1k")):
+            spark.conf.set(fixed, value)
+            spark.conf.set(adaptive, value)
+            with pytest.raises(ZeroDivisionError), tables.small_broadcasts(spark):
+                assert spark.conf.get(fixed) == spark.conf.get(adaptive) == expected
+                1 / 0
+            assert spark.conf.get(fixed) == spark.conf.get(adaptive) == value
+        spark.conf.unset(adaptive)
+        spark.conf.unset(fixed)
+        default = spark.conf.get(fixed)
+        with tables.small_broadcasts(spark):
+            assert (spark.conf.get(fixed), spark.conf.get(adaptive, None)) == ("262144", None)
+        assert spark.conf.get(fixed) == default
+    finally:
+        spark.conf.unset(adaptive)
+        spark.conf.set(fixed, before)
+
+
 def test_merge_skip_counts_lists():
     rng = random.Random(5)
     for _ in range(200):
